@@ -86,11 +86,16 @@ def reduce_by_key(
     return halfway.groupBy(*grouping).applyInPandas(merged, schema).drop("_all")
 
 
-def values_per_key(df: DataFrame, keys: list[str], value: str, name: str = "vals") -> DataFrame:
+def values_per_key(df: DataFrame, keys: list[str], value: str, name: str = "vals", parts: int = 1) -> DataFrame:
     """Sorted array of a key's distinct values.
 
-    Distinct pairs are formed before anything is collected, so copies never reach the array;
-    an array is as long as the key has values, and belongs to attributes of few values.
+    Distinct pairs are formed before anything is collected, so copies never reach the array.
+    Where a key may have very many values, ``parts`` cuts its array over as many rows,
+    numbered in a column ``part``.
     """
     pairs = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
-    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+    grouping = list(keys)
+    if parts > 1:
+        pairs = pairs.withColumn("part", F.pmod(F.xxhash64(value), F.lit(parts)).cast("int"))
+        grouping.append("part")
+    return pairs.groupBy(*grouping).agg(F.array_sort(F.collect_list(value)).alias(name))

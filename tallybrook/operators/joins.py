@@ -8,9 +8,13 @@ from pyspark.sql import types as T
 
 from tallybrook.session import broadcast_limit, planned_bytes
 
-HOT_KEYS = 1000
+# A side below this size has no key too large for one task, and is not searched for one.
+SEARCH_FROM_BYTES = 128 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 MAX_SPLITS = 4096
+# Bounds of the broadcast list of hot keys: this many keys, none longer than this.
+HOT_KEYS = 100_000
+HOT_KEY_BYTES = 256
 
 _KINDS = {
     "inner": "inner",
@@ -43,10 +47,14 @@ def is_small(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK, name: str = "_splits") -> DataFrame:
     """The keys too large for one task, with the number of splits for each.
 
-    At most `HOT_KEYS` rows, so the frame may always be broadcast. A hot key beyond that
-    number is merely not split; no result depends on it.
+    At most `HOT_KEYS` keys of at most `HOT_KEY_BYTES`, so the frame may always be broadcast.
+    Further hot keys are merely not split; no result depends on it.
     """
-    counted = df.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = df.select(*on).dropna()
+    texts = [F.octet_length(c) for c in on if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    if texts:
+        keys = keys.where(sum(texts[1:], texts[0]) <= HOT_KEY_BYTES)
+    counted = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     heaviest = counted.where(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
     splits = F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(MAX_SPLITS)).cast("int")
     return heaviest.select(*on, splits.alias(name))
@@ -90,14 +98,16 @@ def equi_join(
     how: str = "inner",
     split: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    search_from_bytes: int = SEARCH_FROM_BYTES,
 ) -> DataFrame:
     """Join on same-named keys, which appear once in the result.
 
     Adaptive execution splits hot keys of both sides of an inner join and of the kept side
     of an outer, semi or anti join. It cannot split the other side of an outer join: name
     that side in ``split`` ("left" or "right") and its hot keys are salted, with the rows of
-    the other side copied to every salt. Semi and anti joins reduce the right side to its
-    distinct keys first.
+    the other side copied to every salt. Looking for them reads the key columns once more,
+    so it is left out for a side below ``search_from_bytes``. Semi and anti joins reduce the
+    right side to its distinct keys first.
     """
     on = [on] if isinstance(on, str) else list(on)
     kind = _KINDS[how]
@@ -106,10 +116,10 @@ def equi_join(
         right = right.select(*on).distinct()
         if split == "right":
             split = None
-    if split is None:
-        return left.join(right, on, kind)
-    if split not in ("left", "right"):
+    if split not in (None, "left", "right"):
         raise ValueError("split names a side: left or right")
+    if split is None or planned_bytes(left if split == "left" else right) < search_from_bytes:
+        return left.join(right, on, kind)
 
     names = left.columns if kind.startswith("left_") else left.columns + [c for c in right.columns if c not in on]
     names = on + [c for c in names if c not in on]

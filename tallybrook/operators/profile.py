@@ -2,45 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _as_text(f: T.StructField) -> Column:
+    """A value as text such that different values have different texts."""
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return (F.col(f.name) + F.lit(0).cast(f.dataType)).cast("string")  # -0.0 is 0.0
+    if isinstance(f.dataType, T.BinaryType):
+        return F.hex(f.name)
+    if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        return F.when(F.col(f.name).isNotNull(), F.to_json(F.struct(f.name)))
+    return F.col(f.name).cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """Exact number of distinct values per column, as rows (position, distinct_count).
+
+    All columns are laid under each other and made distinct in one shuffle by value, so a
+    frequent value costs one row per task.
+    """
+    cells = [F.struct(F.lit(i).alias("position"), _as_text(f).alias("cell")) for i, f in enumerate(df.schema.fields)]
+    values = df.select(F.inline(F.array(*cells))).where(F.col("cell").isNotNull()).distinct()
+    return values.groupBy("position").agg(F.count(F.lit(1)).alias("distinct_count"))
+
+
 def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
     """A row per column: type, nullability, rows, nulls, distinct values, min, max, mean, stddev.
 
-    One aggregation over one scan. Exact distinct counts move every distinct value of every
-    column; ``approximate_distinct`` moves a fixed-size sketch per column and task instead.
+    All but exact distinct counts come from one scan that moves a row per task. Those move
+    every distinct value of every column; ``approximate_distinct`` takes a sketch of fixed
+    size per column instead, in the same scan.
     """
     entries, aggregates = [], [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):
         numeric = isinstance(f.dataType, T.NumericType)
-        count_distinct = F.approx_count_distinct if approximate_distinct else F.count_distinct
-        aggregates += [
-            F.count(f.name).alias(f"n{i}"),
-            count_distinct(F.col(f.name)).alias(f"d{i}"),
-            F.min(f.name).cast("string").alias(f"lo{i}"),
-            F.max(f.name).cast("string").alias(f"hi{i}"),
-        ]
-        none = F.lit(None).cast("double")
+        ordered = not isinstance(f.dataType, T.MapType)
+        none = F.lit(None)
+        aggregates.append(F.count(f.name).alias(f"n{i}"))
+        if ordered:
+            aggregates += [F.min(f.name).cast("string").alias(f"lo{i}"), F.max(f.name).cast("string").alias(f"hi{i}")]
         if numeric:
-            aggregates += [
-                F.avg(F.col(f.name).cast("double")).alias(f"mean{i}"),
-                F.stddev(F.col(f.name).cast("double")).alias(f"dev{i}"),
-            ]
+            number = F.col(f.name).cast("double")
+            aggregates += [F.avg(number).alias(f"mean{i}"), F.stddev(number).alias(f"dev{i}")]
+        if approximate_distinct:
+            aggregates.append(F.approx_count_distinct(_as_text(f)).alias(f"d{i}"))
         entries.append(
             F.struct(
+                F.lit(i).alias("position"),
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
                 F.lit(f.nullable).alias("nullable"),
                 F.col("rows").alias("row_count"),
                 (F.col("rows") - F.col(f"n{i}")).alias("null_count"),
-                F.col(f"d{i}").alias("distinct_count"),
-                F.col(f"lo{i}").alias("min_value"),
-                F.col(f"hi{i}").alias("max_value"),
-                (F.col(f"mean{i}") if numeric else none).alias("mean"),
-                (F.col(f"dev{i}") if numeric else none).alias("stddev"),
+                (F.col(f"d{i}") if approximate_distinct else none.cast("bigint")).alias("distinct_count"),
+                (F.col(f"lo{i}") if ordered else none.cast("string")).alias("min_value"),
+                (F.col(f"hi{i}") if ordered else none.cast("string")).alias("max_value"),
+                (F.col(f"mean{i}") if numeric else none.cast("double")).alias("mean"),
+                (F.col(f"dev{i}") if numeric else none.cast("double")).alias("stddev"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    table = df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    names = [c for c in table.columns if c != "position"]
+    if not approximate_distinct:
+        # One row per column of the input on both sides.
+        counts = F.broadcast(distinct_counts(df))
+        table = table.drop("distinct_count").join(counts, "position", "left").fillna(0, ["distinct_count"])
+    return table.select(*names)

@@ -44,12 +44,14 @@ def read_csv(
     depending on the columns selected later.
     """
     settings = {"header": header, "mode": CSV_MODES[mode.lower()], **options}
-    if quarantine or mode.lower() != "permissive":
-        settings["columnPruning"] = False
     if schema is not None and quarantine:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         settings["columnNameOfCorruptRecord"] = CORRUPT
-    return read_table(spark, path, "csv", schema, **settings)
+    table = read_table(spark, path, "csv", schema, **settings)
+    if schema is not None and (quarantine or mode.lower() != "permissive"):
+        # Always true; it keeps every column in the scan.
+        table = table.where(F.hash(*schema.names) >= F.lit(-(2**31)))
+    return table
 
 
 def read_part(spark: SparkSession, file: str, table: str | None = None) -> DataFrame:
