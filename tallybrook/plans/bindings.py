@@ -16,7 +16,7 @@ from tallybrook.functions.values import event_time, number_label
 from tallybrook.operators import cleaning, counting, grouping, joins, mapping, ordering, shaping
 from tallybrook.operators.profile import profile
 from tallybrook.plans import lottery, staff, streams, words
-from tallybrook.session import work_folder
+from tallybrook.session import partitions_for, session_settings, work_folder
 from tallybrook.sources import catalog, files
 from tallybrook.streaming import events, inputs, results, topics
 
@@ -217,8 +217,9 @@ def join_static(spark, sf_dir):
 @query
 def interval_pairs(spark, sf_dir):
     """Clicks within an hour after a view by the same user, on the whole table at once."""
-    clicks, views = clicks_and_views(load(spark, sf_dir, "events"))
-    return zoneless(joins.range_join(clicks, views, "user_id", "view_user", "click_ts", "view_ts", 3600))
+    with session_settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+        clicks, views = clicks_and_views(load(spark, sf_dir, "events"))
+        return zoneless(joins.range_join(clicks, views, "user_id", "view_user", "click_ts", "view_ts", 3600))
 
 
 # --- projection, cleaning, preparation ---------------------------------------------------
@@ -304,8 +305,10 @@ def repartition_write(spark, sf_dir):
     folder = work_folder(spark, "repartition_write")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     files.write_table(shaping.balanced(orders, "o_custkey"), f"{folder}/balanced")
-    dealt = shaping.repartition(files.read_table(spark, f"{folder}/balanced"), 8)
-    files.write_table(shaping.coalesce(dealt, 4), f"{folder}/dealt")
+    stored = files.read_table(spark, f"{folder}/balanced")
+    parts = 2 * partitions_for(stored)
+    dealt = shaping.coalesce(shaping.repartition(stored, 2 * parts), parts)
+    files.write_table(dealt, f"{folder}/dealt")
     return files.read_table(spark, f"{folder}/dealt")
 
 
@@ -533,6 +536,15 @@ def orc_roundtrip(spark, sf_dir):
     return files.read_table(spark, folder, "orc")
 
 
+@query
+def part_files(spark, sf_dir):
+    """The part files of a partitioned table, read file by file with the columns of their folders."""
+    folder = work_folder(spark, "part_files")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    files.write_table(shaping.balanced(orders, "o_orderstatus"), folder, partition_by=["o_orderstatus"])
+    return files.read_part(spark, files.read_table(spark, folder).inputFiles(), folder)
+
+
 @query
 def write_modes(spark, sf_dir):
     """Overwrite, append, and two writes that the existing table turns away."""
@@ -560,7 +572,9 @@ WINDOW_KEYS = ["window_start", "window_end"]
 @query
 def stream_wc(spark, sf_dir):
     with results.stream_settings(spark):
-        counts = streams.running_word_count(stream(spark, sf_dir, "documents"), "text", SPACE_OR_NEWLINE)
+        measure = load(spark, sf_dir, "documents").select("text")
+        documents = shaping.spread_small_input(stream(spark, sf_dir, "documents").select("text"), measure)
+        counts = streams.running_word_count(documents, "text", SPACE_OR_NEWLINE)
         return results.run_to_table(counts, work_folder(spark, "stream_wc"), "complete")
 
 

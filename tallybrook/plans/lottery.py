@@ -18,16 +18,18 @@ def multiplier_distribution(
     Only winners since a batch count, with all their entries, earlier ones too. A number
     that won more than once counts its copies once per win.
 
-    Copies are counted and their maximum taken before the join, so that the join meets each
-    number once per side. When the winners are small enough to broadcast, they first thin
-    out the entries inside the scan.
+    Winners small enough to broadcast thin out the entries inside the scan. Otherwise copies
+    are counted and their maximum taken before the join, so that the join meets each number
+    once per side.
     """
     recent = winners.where(F.col(batch) >= F.lit(since)).select(number)
     wins = count_by(recent, number, name="wins")
     entries = entries.select(number, batch)
+    multiplier = (F.col("copies") * F.col("wins")).alias("multiplier")
     if is_small(recent):
-        entries = entries.join(F.broadcast(recent.distinct()), number, "left_semi")
-    copies = count_by(entries, batch, number, name="copies")
-    most = max_by_group(copies, [number], "copies").join(wins, number)
-    multipliers = most.select(number, (F.col("copies") * F.col("wins")).alias("multiplier"))
+        copies = count_by(entries.join(F.broadcast(wins), number), batch, number, "wins", name="copies")
+        multipliers = max_by_group(copies.select(number, multiplier), [number], "multiplier")
+    else:
+        most = max_by_group(count_by(entries, batch, number, name="copies"), [number], "copies")
+        multipliers = most.join(wins, number).select(number, multiplier)
     return distribution(multipliers, "multiplier")

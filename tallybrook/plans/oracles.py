@@ -154,6 +154,7 @@ ORACLES: dict[str, str] = {
       o_orderkey || ',n/a,' || o_orderstatus as record from {ROUGH} where o_totalprice = 'n/a'""",
     "json_roundtrip": "select * from documents",
     "orc_roundtrip": "select * from lineitem",
+    "part_files": "select o_orderkey, o_totalprice, o_orderstatus from orders",
     "write_modes": """select o_orderkey, o_orderstatus from orders
       union all select o_orderkey, o_orderstatus from orders""",
     # streams

@@ -9,15 +9,23 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk with a bounded share of an executor's memory, uploaded as changes; the
+# join format keeps both sides of a stream join in one store per partition.
+STREAM_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
 
 BASE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STREAM_STATE,
 }
 
 _local_root: tempfile.TemporaryDirectory | None = None
@@ -78,6 +86,11 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def partitions_for(df: DataFrame, bytes_each: int = 128 * 1024 * 1024) -> int:
+    """How many partitions of a given size a batch frame fills, by the optimizer's estimate."""
+    return max(1, -(-planned_bytes(df) // bytes_each))
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when switched off."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybrook.session import partitions_for
+
 CSV_MODES = {"permissive": "PERMISSIVE", "dropmalformed": "DROPMALFORMED", "failfast": "FAILFAST"}
 CORRUPT = "_corrupt_record"
 
@@ -18,11 +20,19 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None, line_end: str | None = None) -> DataFrame:
-    """Text lines in a column ``value``. A line end may be named; "\\r" also ends lines otherwise."""
+def read_lines(
+    spark: SparkSession, path: str | list[str], min_partitions: int | None = None, line_end: str | None = None
+) -> DataFrame:
+    """Text lines in a column ``value``. A line end may be named; "\\r" also ends lines otherwise.
+
+    With ``min_partitions`` an input too small to be split into so many parts is dealt out;
+    a larger one has more splits by itself and is not shuffled.
+    """
     options = {"lineSep": line_end} if line_end else {}
     lines = spark.read.options(**options).text(path)
-    return lines.repartition(min_partitions) if min_partitions else lines
+    if min_partitions and partitions_for(lines) < min_partitions:
+        return lines.repartition(min_partitions)
+    return lines
 
 
 def read_csv(
@@ -54,8 +64,8 @@ def read_csv(
     return table
 
 
-def read_part(spark: SparkSession, file: str, table: str | None = None) -> DataFrame:
-    """One Parquet file; naming its table's folder adds the partition columns of its path."""
+def read_part(spark: SparkSession, file: str | list[str], table: str | None = None) -> DataFrame:
+    """Single Parquet files; naming their table's folder adds the partition columns of the path."""
     return read_table(spark, file, "parquet", **({"basePath": table} if table else {}))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybrook.session import ROCKSDB, session_settings
+from tallybrook.session import STREAM_STATE, session_settings
 
 ONCE = {"availableNow": True}
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
@@ -33,8 +33,7 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(state_partitions),
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **STREAM_STATE,
     }
     with session_settings(spark, settings):
         yield
@@ -44,7 +43,9 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
 class ResultTable:
     """A stream's result as Parquet files, one folder per micro-batch.
 
-    A batch that runs again replaces its folder, so the table holds each batch once.
+    A batch that runs again replaces its folder, so the table holds each batch once. Folders
+    are tidied up while the stream runs: in complete mode all but the last few go, in update
+    mode finished batches are merged from time to time. Read a frame soon after it was made.
     """
 
     spark: SparkSession
@@ -52,41 +53,72 @@ class ResultTable:
     schema: T.StructType
     mode: str
     keys: list[str] = field(default_factory=list)
-
-    def folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id}"
+    merge_every: int = 50
 
     def batches(self) -> list[int]:
         """Numbers of the batches written in full."""
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch_id=*/_SUCCESS")
+        return self._written("batch_id")
+
+    def _written(self, kind: str) -> list[int]:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}=*/_SUCCESS")
         found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place) or []
         return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
 
+    def _forget(self, kind: str, numbers: list[int]) -> None:
+        for number in numbers:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}={number}")
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(self.folder(batch_id))
+        """Store one micro-batch; called by Spark once per batch or again after a failure."""
+        finished = [b for b in self.batches() if b < batch_id]
+        if self.mode == "update" and len(finished) >= self.merge_every:
+            self._merge(finished)
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
         if self.mode == "complete":
-            self._forget([b for b in self.batches() if b <= batch_id - KEPT_RESULTS])
-
-    def _forget(self, batch_ids: list[int]) -> None:
-        for batch_id in batch_ids:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(batch_id))
-            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+            self._forget("batch_id", [b for b in finished if b <= batch_id - KEPT_RESULTS])
+
+    def _merge(self, finished: list[int]) -> None:
+        """Put the last state of each key over the finished batches into one folder.
+
+        The merged folder is complete before anything goes, and only newer batches are
+        merged into it, so a merge cut short is finished by the next.
+        """
+        former, last = self._written("merged_to"), finished[-1]
+        if not former or last > former[-1]:
+            self._latest(finished).write.mode("overwrite").parquet(f"{self.path}/merged_to={last}")
+        self._forget("batch_id", finished)
+        self._forget("merged_to", [number for number in former if number < last])
+
+    def _latest(self, batches: list[int]) -> DataFrame:
+        """The last state of each key over the merged folder and the given batches."""
+        stored = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+        merged = self._written("merged_to")[-1:]
+        newer = [b for b in batches if not merged or b > merged[0]]
+        parts = [
+            self.spark.read.schema(self.schema)
+            .parquet(f"{self.path}/merged_to={number}")
+            .withColumn("batch_id", F.lit(number).cast("bigint"))
+            for number in merged
+        ]
+        if newer:
+            folders = [f"{self.path}/batch_id={b}" for b in newer]
+            parts.append(self.spark.read.schema(stored).option("basePath", self.path).parquet(*folders))
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if len(merged) + len(newer) == 1 or self.mode == "append":
+            return rows.select(*self.schema.names)
+        values = [F.max_by(c, "batch_id").alias(c) for c in self.schema.names if c not in self.keys]
+        return rows.groupBy(*self.keys).agg(*values).select(*self.schema.names)
 
     def read(self) -> DataFrame:
         """The result so far: the last batch in complete mode, the last state of each key in
         update mode, all rows in append mode."""
         batches = self.batches()
-        if not batches:
+        if not batches and not self._written("merged_to"):
             return self.spark.createDataFrame([], self.schema)
         if self.mode == "complete":
-            return self.spark.read.schema(self.schema).parquet(self.folder(batches[-1]))
-        stored = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        folders = [self.folder(b) for b in batches]
-        rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*folders)
-        if self.mode == "append" or len(batches) == 1:
-            return rows.drop("batch_id")
-        latest = [F.max_by(c, "batch_id").alias(c) for c in self.schema.names if c not in self.keys]
-        return rows.groupBy(*self.keys).agg(*latest).select(*self.schema.names)
+            return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batches[-1]}")
+        return self._latest(batches)
 
 
 def start_table(
@@ -97,6 +129,7 @@ def start_table(
     trigger: dict | None = None,
     checkpoint: str | None = None,
     name: str | None = None,
+    merge_every: int = 50,
 ) -> tuple[StreamingQuery, ResultTable]:
     """Write a stream to a `ResultTable` in a folder, with its progress kept beside it.
 
@@ -105,7 +138,7 @@ def start_table(
     """
     if mode == "update" and not keys:
         raise ValueError("update mode needs the keys of the result")
-    table = ResultTable(df.sparkSession, f"{folder}/result", df.schema, mode, keys or [])
+    table = ResultTable(df.sparkSession, f"{folder}/result", df.schema, mode, keys or [], merge_every)
     writer = df.writeStream.outputMode(mode).trigger(**(trigger or ONCE))
     writer = writer.option("checkpointLocation", checkpoint or f"{folder}/checkpoint")
     if name:

@@ -94,6 +94,13 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, plan):
     assert "GreaterThan(a,3)" in text and "ReadSchema: struct<a:bigint,b:bigint>" in text
 
 
+def test_lines_of_a_large_input_are_not_dealt_out(spark, tmp_path, plan, monkeypatch):
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    assert "RoundRobin" in plan(files.read_lines(spark, str(tmp_path / "a.txt"), min_partitions=3))
+    monkeypatch.setattr(files, "partitions_for", lambda df: 1000)
+    assert "RoundRobin" not in plan(files.read_lines(spark, str(tmp_path / "a.txt"), min_partitions=3))
+
+
 def test_views_and_catalog(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 26000), (2, 30000)], "id int, salary int")
     assert rows(catalog.select_all(spark, catalog.session_view(df, "t1"))) == rows(df)
