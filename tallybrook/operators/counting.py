@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,35 +56,44 @@ def reduce_by_key(
     """Reduce a column per key with any associative, commutative function of a Series.
 
     For functions that Spark lacks; use its own aggregates otherwise. Each task merges its
-    batches first, then a group holds only those partial results. With no keys the whole
-    column is reduced to one row.
+    rows first; partial results then meet sorted by key and are merged as they pass, so no
+    task ever holds a whole group. With no keys the whole column is reduced to one row.
     """
     grouping = keys or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
     source = source.select(*grouping, value).where(F.col(value).isNotNull())
-    schema = source.schema
 
-    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.groupby(grouping, as_index=False, dropna=False, sort=False)[value].agg(merge)
+    def merged(table: pa.Table) -> pa.Table:
+        # Arrow types keep whole numbers beside nulls as they are.
+        pdf = table.to_pandas(types_mapper=pd.ArrowDtype)
+        reduced = pdf.groupby(grouping, as_index=False, dropna=False, sort=False)[value].agg(merge)
+        return pa.Table.from_pandas(reduced, schema=table.schema, preserve_index=False)
 
-    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            part = merged(batch)
-            held = part if held is None else merged(pd.concat([held, part]))
+            part = merged(pa.Table.from_batches([batch]))
+            held = part if held is None else merged(pa.concat_tables([held, part]))
             if len(held) > held_keys:
-                yield held
+                yield from held.to_batches()
                 held = None
         if held is not None:
-            yield held
+            yield from held.to_batches()
 
-    partial = source.mapInPandas(per_task, schema)
-    # A key met by very many tasks is merged in two steps, so no group grows with the data.
-    spread = partial.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(64)))
-    halfway = spread.groupBy(*grouping, "_part").applyInPandas(
-        lambda pdf: merged(pdf[[*grouping, value]]), schema
-    )
-    return halfway.groupBy(*grouping).applyInPandas(merged, schema).drop("_all")
+    def in_key_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            part = merged(rows if held is None else pa.concat_tables([held, rows]))
+            # The last key may go on in the next batch.
+            yield from part.slice(0, len(part) - 1).to_batches()
+            held = part.slice(len(part) - 1)
+        if held is not None:
+            yield from held.to_batches()
+
+    partial = source.mapInArrow(per_task, source.schema)
+    met = partial.repartition(*grouping).sortWithinPartitions(*grouping)
+    return met.mapInArrow(in_key_order, source.schema).drop("_all")
 
 
 def values_per_key(df: DataFrame, keys: list[str], value: str, name: str = "vals", parts: int = 1) -> DataFrame:

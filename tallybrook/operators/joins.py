@@ -60,18 +60,19 @@ def hot_keys(df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK, n
     return heaviest.select(*on, splits.alias(name))
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """A hash of the whole row: the same on every attempt of a task, unlike a random salt."""
+def _row_salt(df: DataFrame, salts: Column) -> Column:
+    """A salt from the row and the number of its partition: the same on every attempt of a
+    task, unlike a random one, and different for copies of a row in different partitions."""
     columns = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*columns)
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), salts)
 
 
 def _split(df: DataFrame, hot: DataFrame, on: list[str], salt: str) -> DataFrame:
     """Give each row of a hot key one of the key's salts. Null keys never match and are
     spread as well."""
-    spread = F.when(F.col("_splits").isNotNull(), F.pmod(_row_hash(df), F.col("_splits")))
+    spread = F.when(F.col("_splits").isNotNull(), _row_salt(df, F.col("_splits")))
     for key in on:
-        spread = F.when(F.col(key).isNull(), F.pmod(_row_hash(df), F.lit(MAX_SPLITS))).otherwise(spread)
+        spread = F.when(F.col(key).isNull(), _row_salt(df, F.lit(MAX_SPLITS))).otherwise(spread)
     marked = df.join(F.broadcast(hot), on, "left")
     return marked.withColumn(salt, F.coalesce(spread, F.lit(0)).cast("int")).select(*df.columns, salt)
 

@@ -60,8 +60,10 @@ def test_any_input(spark, left, right, how, split):
     assert Counter(tuple(r) for r in got.collect()) == brute(left, right, how)
 
 
-def test_a_hot_key_is_spread(spark):
-    facts = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_key_is_spread(spark, copies):
+    number = F.lit(5) if copies else F.col("id")
+    facts = spark.range(0, 3000, 1, 20).select(F.lit(1).alias("k"), number.alias("a"))
     people = spark.createDataFrame([(1, 10), (2, 20)], RIGHT)
     joined = equi_join(people, facts, "k", "left", split="right", rows_per_task=100, search_from_bytes=0)
     # Partitions as the shuffle makes them, without adaptive merging.

@@ -201,6 +201,12 @@ def test_reduce_by_key(spark, rows):
     assert rows(counting.reduce_by_key(df, [], "v", lambda s: s.sum())) == [(sum(range(5000)),)]
 
 
+def test_reduce_keeps_large_numbers_and_null_keys(spark, rows):
+    large = 2**60 + 1
+    df = spark.createDataFrame([(large, 1), (None, large), (large, 2), (None, 3), (4, None)], "k bigint, v bigint")
+    assert rows(counting.reduce_by_key(df, ["k"], "v", lambda s: s.max())) == [(None, large), (large, 2)]
+
+
 def test_sampling(spark, rows):
     df = spark.range(4000)
     part = shaping.sample_by_key(df, "id", 0.25)
