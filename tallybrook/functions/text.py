@@ -34,6 +34,6 @@ def pair_rows(df: DataFrame, line: str = "value", separator: str = SPACE) -> Dat
     Empty words go before pairing, so a pair never holds one and never spans lines.
     """
     words = df.select(F.array_remove(F.split(line, separator), "").alias("words"))
-    shifted = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0)))
-    pairs = words.select(F.inline(F.arrays_zip("words", shifted)).alias("first", "second"))
-    return pairs.where(F.col("second").isNotNull())
+    pairs = F.greatest(F.size("words") - 1, F.lit(0))
+    both = F.arrays_zip(F.slice("words", 1, pairs), F.slice("words", 2, pairs))
+    return words.select(F.inline(both).alias("first", "second"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybrook.operators.joins import is_small
+
 EXACT = "decimal(18,2)"
 
 
@@ -39,16 +41,24 @@ def sum_avg_through_join(
     avg_name: str,
     exact: str = EXACT,
 ) -> DataFrame:
-    """`sum_avg_by` over ``facts`` joined with ``groups``, summed per join key before the join.
+    """`sum_avg_by` over ``facts`` joined with ``groups``.
 
-    The join then meets one fact row per key, whatever share of the facts that key holds.
+    Groups small enough to broadcast are joined inside the scan of the facts. Otherwise the
+    facts are summed per join key first: the join then meets one fact row per key, whatever
+    share of the facts that key holds.
     """
+    groups = groups.select(on, *keys)
+    if is_small(groups):
+        return sum_avg_by(facts.join(F.broadcast(groups), on), keys, value, sum_name, avg_name, exact)
     addend, sum_type = _addend(facts, value, exact)
     per_key = facts.groupBy(on).agg(F.sum(addend).alias("_sum"), F.count(value).alias("_rows"))
-    joined = per_key.join(groups.select(on, *keys), on)
-    return joined.groupBy(*keys).agg(
-        F.sum("_sum").cast(sum_type).alias(sum_name),
-        F.try_divide(F.sum("_sum").cast("double"), F.sum("_rows")).alias(avg_name),
+    return (
+        per_key.join(groups, on)
+        .groupBy(*keys)
+        .agg(
+            F.sum("_sum").cast(sum_type).alias(sum_name),
+            F.try_divide(F.sum("_sum").cast("double"), F.sum("_rows")).alias(avg_name),
+        )
     )
 
 

@@ -34,7 +34,9 @@ def salaries(spark):
     return spark.createDataFrame([(1, 26000), (2, 30000), (4, 25000), (3, 20000)], "id int, salary int")
 
 
-def test_pay_by_gender(employees, salaries):
+@pytest.mark.parametrize("small", [True, False])
+def test_pay_by_gender(employees, salaries, monkeypatch, small):
+    monkeypatch.setattr(grouping, "is_small", lambda df: small)
     totals = [tuple(r) for r in pay_by_group(salaries, employees, "id", "gender", "salary").collect()]
     assert totals == [("Male", 46000, 23000.0), ("Female", 30000, 30000.0)]
 
@@ -45,7 +47,9 @@ def test_pay_sorts_ties_by_group(spark):
     assert [r["g"] for r in pay_by_group(pay, people, "id", "g", "v").collect()] == ["a", "b"]
 
 
-def test_sums_through_a_join_equal_sums_after_it(spark, rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_sums_through_a_join_equal_sums_after_it(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(grouping, "is_small", lambda df: small)
     rng = random.Random(1)
     facts = [(1, rng.choice([1.25, 2.5, None])) for _ in range(60)] + [(rng.choice([2, 3, None]), 0.75) for _ in range(60)]
     people = [(1, "a"), (1, "b"), (2, "a"), (4, "c")]
