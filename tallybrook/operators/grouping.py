@@ -8,19 +8,20 @@ from pyspark.sql import types as T
 
 from tallybrook.operators.joins import is_small
 
-EXACT = "decimal(18,2)"
 
+def _addend(df: DataFrame, value: str, exact: str | None) -> tuple[Column, str]:
+    """The column as summed, and the type of the sum.
 
-def _addend(df: DataFrame, value: str, exact: str) -> tuple[Column, str]:
-    """The column as summed, and the type of the sum. Doubles are summed as decimals, since
-    the sum of doubles depends on the order in which tasks finish."""
+    The sum of doubles depends on the order in which tasks finish. ``exact`` names a decimal
+    type that holds the values; sums in it are always the same.
+    """
     if isinstance(df.schema[value].dataType, T.IntegralType):
         return F.col(value).cast("bigint"), "bigint"
-    return F.col(value).cast(exact), "double"
+    return F.col(value).cast(exact or "double"), "double"
 
 
 def sum_avg_by(
-    df: DataFrame, keys: list[str], value: str, sum_name: str, avg_name: str, exact: str = EXACT
+    df: DataFrame, keys: list[str], value: str, sum_name: str, avg_name: str, exact: str | None = None
 ) -> DataFrame:
     """Sum and average of a column per group."""
     addend, sum_type = _addend(df, value, exact)
@@ -39,7 +40,7 @@ def sum_avg_through_join(
     value: str,
     sum_name: str,
     avg_name: str,
-    exact: str = EXACT,
+    exact: str | None = None,
 ) -> DataFrame:
     """`sum_avg_by` over ``facts`` joined with ``groups``.
 

@@ -149,6 +149,8 @@ def range_join(
     point_time: str,
     start_time: str,
     seconds: int,
+    hot_points: DataFrame | None = None,
+    hot_starts: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of the same key with ``start <= point <= start + seconds``; batch or stream.
 
@@ -157,11 +159,24 @@ def range_join(
     hot key is thereby spread over its slots, and a row is tried against the rows of two
     slots and not against all rows of its key. On streams, set watermarks on both sides
     first; the time condition lets Spark drop old state.
+
+    Where much of a key falls into one slot, adaptive execution splits the slot in a batch.
+    It does not do so in a stream: pass the hot keys of either side there, from
+    `stored_hot_keys`, to have them salted.
     """
 
     def slot(time: str) -> Column:
         return F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / seconds).cast("bigint")
 
+    salts = []
+    for salt, hot, by_point in (("_point_salt", hot_points, True), ("_start_salt", hot_starts, False)):
+        if hot is None:
+            continue
+        for_points, for_starts = hot.toDF(point_key, "_splits"), hot.toDF(start_key, "_splits")
+        split, copy = (_split, _replicate) if by_point else (_replicate, _split)
+        points = split(points, for_points, [point_key], salt)
+        starts = copy(starts, for_starts, [start_key], salt).withColumnRenamed(salt, f"{salt}_of_start")
+        salts.append(F.col(salt) == F.col(f"{salt}_of_start"))
     slotted_points = points.withColumn("_point_slot", slot(point_time))
     first = slot(start_time)
     slotted_starts = starts.withColumn("_start_slot", F.explode(F.array(first, first + 1)))
@@ -171,7 +186,30 @@ def range_join(
         & (F.col(point_time) >= F.col(start_time))
         & (F.col(point_time) <= F.col(start_time) + F.expr(f"INTERVAL {int(seconds)} SECONDS"))
     )
-    return slotted_points.join(slotted_starts, condition).drop("_point_slot", "_start_slot")
+    for same_salt in salts:
+        condition = condition & same_salt
+    joined = slotted_points.join(slotted_starts, condition).drop("_point_slot", "_start_slot")
+    return joined.drop("_point_salt", "_point_salt_of_start", "_start_salt", "_start_salt_of_start")
+
+
+def stored_hot_keys(
+    history: DataFrame,
+    key: str,
+    path: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    search_from_bytes: int = SEARCH_FROM_BYTES,
+) -> DataFrame | None:
+    """The hot keys of the rows a stream has at its first start, kept in a folder for good.
+
+    A later start on the same folder gets the same list, since the state of a stream join is
+    laid out by it. None when there are none. Keys that grow hot later are not split.
+    """
+    found = hot_keys(history, [key], rows_per_task)
+    if planned_bytes(history) < search_from_bytes:
+        found = found.where(F.lit(False))
+    found.write.mode("ignore").parquet(path)
+    stored = history.sparkSession.read.schema(found.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def with_attributes(facts: DataFrame, attributes: DataFrame, fact_key: str, attribute_key: str) -> DataFrame:

@@ -23,6 +23,9 @@ from tallybrook.streaming import events, inputs, results, topics
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Amounts of the test tables have two decimals; sums in this type do not depend on task order.
+MONEY = "decimal(18,2)"
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -146,14 +149,14 @@ def partitioned_scan(spark, sf_dir):
 def join_agg_sort(spark, sf_dir):
     pay = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("price"))
     people = load(spark, sf_dir, "customer")
-    totals = staff.pay_by_group(pay, people, "c_custkey", "c_mktsegment", "price")
+    totals = staff.pay_by_group(pay, people, "c_custkey", "c_mktsegment", "price", MONEY)
     return totals.withColumn("avg_price", F.round("avg_price", 4))
 
 
 @query
 def group_sum_avg(spark, sf_dir):
     totals = grouping.sum_avg_by(
-        load(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity", "sum_qty", "avg_qty"
+        load(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity", "sum_qty", "avg_qty", MONEY
     )
     return totals.withColumn("avg_qty", F.round("avg_qty", 4))
 
@@ -162,7 +165,7 @@ def group_sum_avg(spark, sf_dir):
 def average_of_text(spark, sf_dir):
     """Average of amounts held as text, where part of the texts are no numbers."""
     dirty = rough_orders(spark, sf_dir)
-    averages = grouping.average_of_text(dirty, ["o_orderstatus"], "o_totalprice", "avg_price", "decimal(18,2)")
+    averages = grouping.average_of_text(dirty, ["o_orderstatus"], "o_totalprice", "avg_price", MONEY)
     return averages.withColumn("avg_price", F.round("avg_price", 4).cast("string"))
 
 
@@ -648,11 +651,22 @@ def zoneless(df: DataFrame) -> DataFrame:
 
 @query
 def stream_stream(spark, sf_dir):
+    folder = work_folder(spark, "stream_stream")
     with results.stream_settings(spark):
         clicks, _ = clicks_and_views(stream(spark, sf_dir, "events"))
         _, views = clicks_and_views(stream(spark, sf_dir, "events"))
-        pairs = streams.actions_after_posting(clicks, views, "user_id", "view_user", "click_ts", "view_ts")
-        return results.run_to_table(zoneless(pairs), work_folder(spark, "stream_stream"), "append")
+        old_clicks, old_views = clicks_and_views(load(spark, sf_dir, "events"))
+        pairs = streams.actions_after_posting(
+            clicks,
+            views,
+            "user_id",
+            "view_user",
+            "click_ts",
+            "view_ts",
+            hot_actions=joins.stored_hot_keys(old_clicks, "user_id", f"{folder}/hot_clicks"),
+            hot_postings=joins.stored_hot_keys(old_views, "view_user", f"{folder}/hot_views"),
+        )
+        return results.run_to_table(zoneless(pairs), folder, "append")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -665,7 +679,7 @@ def keyed_avg(spark, sf_dir):
     with results.stream_settings(spark):
         messages = event_messages(spark, sf_dir)
         running, clients, _ = streams.start_client_averages(
-            messages, work_folder(spark, "keyed_avg"), trigger=results.ONCE, as_type="decimal(18,2)"
+            messages, work_folder(spark, "keyed_avg"), trigger=results.ONCE, as_type=MONEY
         )
         results.wait_for_all(*running)
     return clients.read().withColumn("avgCPUUsage", F.round("avgCPUUsage", 6))
@@ -675,7 +689,7 @@ def keyed_avg(spark, sf_dir):
 def topic_frame(spark, sf_dir):
     """What the topic receives: key and value as text."""
     with results.stream_settings(spark):
-        averages = events.keyed_average(event_messages(spark, sf_dir), as_type="decimal(18,2)")
+        averages = events.keyed_average(event_messages(spark, sf_dir), as_type=MONEY)
         messages = topics.as_messages(averages.withColumn("average", F.round("average", 4)), "key", "average")
         running, sent = topics.start_topic_files(messages, work_folder(spark, "topic_frame"), trigger=results.ONCE)
         results.wait_for_all(running)

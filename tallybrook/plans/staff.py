@@ -25,7 +25,9 @@ def masked_records(
     return records
 
 
-def pay_by_group(pay: DataFrame, people: DataFrame, on: str, group: str, value: str) -> DataFrame:
+def pay_by_group(
+    pay: DataFrame, people: DataFrame, on: str, group: str, value: str, exact: str | None = None
+) -> DataFrame:
     """Sum and average of pay per group of people, largest sum first."""
-    totals = sum_avg_through_join(pay, people, on, [group], value, f"sum_{value}", f"avg_{value}")
+    totals = sum_avg_through_join(pay, people, on, [group], value, f"sum_{value}", f"avg_{value}", exact)
     return sort_by(totals, F.desc(f"sum_{value}"), F.asc(group))

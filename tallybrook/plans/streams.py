@@ -48,8 +48,13 @@ def actions_after_posting(
     seconds: int = 3600,
     action_lateness: str = "1 hour",
     posting_lateness: str = "5 minutes",
+    hot_actions: DataFrame | None = None,
+    hot_postings: DataFrame | None = None,
 ) -> DataFrame:
-    """Actions within an hour of the posting that they refer to. Streams join in append mode only."""
+    """Actions within an hour of the posting that they refer to. Streams join in append mode only.
+
+    A posting may draw a large share of all actions: see `stored_hot_keys`.
+    """
     return range_join(
         actions.withWatermark(action_time, action_lateness),
         postings.withWatermark(posting_time, posting_lateness),
@@ -58,6 +63,8 @@ def actions_after_posting(
         action_time,
         posting_time,
         seconds,
+        hot_actions,
+        hot_postings,
     )
 
 

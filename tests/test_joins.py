@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallybrook.operators.joins import broadcast_if_small, equi_join, hot_keys, range_join, with_attributes
+from tallybrook.operators.joins import broadcast_if_small, equi_join, hot_keys, range_join, stored_hot_keys, with_attributes
 
 LEFT, RIGHT = "k int, a int", "k int, b int"
 
@@ -109,7 +109,8 @@ def test_broadcast_only_below_the_limit(spark, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_range_join_against_brute_force(spark):
+@pytest.mark.parametrize(("hot_points", "hot_starts"), [(False, False), (True, False), (False, True), (True, True)])
+def test_range_join_against_brute_force(spark, hot_points, hot_starts):
     rng = random.Random(3)
     zero = dt.datetime(2024, 1, 1)
     # Key 1 holds most rows; times fall on slot edges and range ends as well.
@@ -117,7 +118,19 @@ def test_range_join_against_brute_force(spark):
     starts = [(rng.choice([1, 1, 2, 3]), i, zero + dt.timedelta(seconds=rng.choice([0, 3600, rng.randrange(20000)]))) for i in range(80)]
     p = spark.createDataFrame(points, "k int, p int, pt timestamp")
     s = spark.createDataFrame(starts, "sk int, s int, st timestamp")
-    got = Counter((r["p"], r["s"]) for r in range_join(p, s, "k", "sk", "pt", "st", 3600).collect())
+    joined = range_join(
+        p,
+        s,
+        "k",
+        "sk",
+        "pt",
+        "st",
+        3600,
+        hot_keys(p, ["k"], rows_per_task=10) if hot_points else None,
+        hot_keys(s, ["sk"], rows_per_task=15) if hot_starts else None,
+    )
+    assert joined.columns == ["k", "p", "pt", "sk", "s", "st"]
+    got = Counter((r["p"], r["s"]) for r in joined.collect())
     hour = dt.timedelta(hours=1)
     want = Counter((a, b) for k, a, t in points for kk, b, u in starts if k == kk and u <= t <= u + hour)
     assert got == want and max(got.values()) == 1
@@ -127,3 +140,16 @@ def test_range_join_with_fractions_of_a_second(spark):
     p = spark.sql("select 1 k, timestamp'2024-01-01 01:00:00.5' pt union all select 1, timestamp'2024-01-01 01:00:00.500001'")
     s = spark.sql("select 1 sk, timestamp'2024-01-01 00:00:00.5' st")
     assert range_join(p, s, "k", "sk", "pt", "st", 3600).count() == 1
+
+
+def test_stored_hot_keys_do_not_change(spark, tmp_path, rows):
+    few = spark.createDataFrame([(1, 0)] * 10 + [(2, 0)], LEFT)
+    more = spark.createDataFrame([(2, 0)] * 50, LEFT)
+    path = str(tmp_path / "hot")
+    first = stored_hot_keys(few, "k", path, rows_per_task=4, search_from_bytes=0)
+    assert rows(first) == [(1, 3)]
+    assert rows(stored_hot_keys(more, "k", path, rows_per_task=4, search_from_bytes=0)) == [(1, 3)]
+    # A list found empty stays empty too.
+    none = str(tmp_path / "none")
+    assert stored_hot_keys(few, "k", none, rows_per_task=4, search_from_bytes=1 << 64) is None
+    assert stored_hot_keys(more, "k", none, rows_per_task=4, search_from_bytes=0) is None

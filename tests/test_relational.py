@@ -55,9 +55,15 @@ def test_sums_through_a_join_equal_sums_after_it(spark, rows, monkeypatch, small
     people = [(1, "a"), (1, "b"), (2, "a"), (4, "c")]
     f = spark.createDataFrame(facts, "k int, v double")
     p = spark.createDataFrame(people, "k int, g string")
-    early = grouping.sum_avg_through_join(f, p, "k", ["g"], "v", "s", "a")
-    late = grouping.sum_avg_by(f.join(p, "k"), ["g"], "v", "s", "a")
-    assert rows(early) == rows(late)
+    for exact in (None, "decimal(18,2)"):
+        early = grouping.sum_avg_through_join(f, p, "k", ["g"], "v", "s", "a", exact)
+        late = grouping.sum_avg_by(f.join(p, "k"), ["g"], "v", "s", "a", exact)
+        assert rows(early) == rows(late)
+
+
+def test_sums_keep_small_fractions(spark, rows):
+    df = spark.createDataFrame([("a", 0.001), ("a", 0.002)], "g string, v double")
+    assert rows(grouping.sum_avg_by(df, ["g"], "v", "s", "a")) == [("a", 0.003, 0.0015)]
 
 
 def test_average_of_nothing_is_null(spark, rows):
