@@ -40,7 +40,10 @@ def lenient(value: Column, as_type: str) -> Column:
 
 
 def field(line: Column, position: int, separator: str = ",") -> Column:
-    """The n-th field of a delimited line, counted from 1; null when the line is too short."""
+    """The n-th field of a delimited line, counted from 1; null when the line is too short.
+
+    The separator is a regular expression, as in ``split``.
+    """
     return F.try_element_at(F.split(line, separator), F.lit(position))
 
 

@@ -119,13 +119,13 @@ def equi_join(
             split = None
     if split not in (None, "left", "right"):
         raise ValueError("split names a side: left or right")
-    if split is None or planned_bytes(left if split == "left" else right) < search_from_bytes:
+    source, other = (left, right) if split == "left" else (right, left)
+    if split is None or source.isStreaming or planned_bytes(source) < search_from_bytes:
         return left.join(right, on, kind)
 
     names = left.columns if kind.startswith("left_") else left.columns + [c for c in right.columns if c not in on]
     names = on + [c for c in names if c not in on]
     salted = [*on, "_salt"]
-    source, other = (left, right) if split == "left" else (right, left)
     hot = hot_keys(source, on, rows_per_task)
     if kind in ("inner", split) or kind.startswith("left_"):
         # Every row of the split side keeps exactly one salt: the join is right as it stands.

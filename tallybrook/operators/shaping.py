@@ -20,7 +20,7 @@ def project_sql(df: DataFrame, *expressions: str) -> DataFrame:
 
 
 def name_columns(df: DataFrame, names: list[str], arrays: dict[str, str] | None = None) -> DataFrame:
-    """Name columns by position; ``arrays`` maps a text column to the separator of its items."""
+    """Name columns by position; ``arrays`` maps a text column to the pattern between its items."""
     named = df.toDF(*names)
     return named.withColumns({c: F.split(c, separator) for c, separator in (arrays or {}).items()})
 
