@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallybrook.llm.common import read
+from tallybrook.llm.mixing import MIX_SQL, mix_plan
 from tallybrook.llm.packing import pack_documents
+from tallybrook.llm.sharding import record_size, shards
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +18,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LLM_QUERIES = {"op1_packing": op1_packing}
-LLM_ORACLES: dict[str, str] = {}
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in random order in 40 shards with row counts at most one apart."""
+    text = F.col("row.text")
+    return shards(read(spark, sf_dir, "documents")).select(
+        "row.doc_id",
+        record_size(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the words that the mix takes of them."""
+    plan = mix_plan(read(spark, sf_dir, "documents"))
+    return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+LLM_QUERIES = {"op1_packing": op1_packing, "op5_sharding": op5_sharding, "op6_mixing": op6_mixing}
+LLM_ORACLES: dict[str, str] = {"op6_mixing": MIX_SQL}
