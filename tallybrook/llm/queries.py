@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import read
+from tallybrook.llm.common import read, stored
 from tallybrook.llm.mixing import MIX_SQL, mix_plan
 from tallybrook.llm.packing import pack_documents
+from tallybrook.llm.quality import judged, quality_counts
 from tallybrook.llm.sharding import record_size, shards
 
 
@@ -38,5 +39,17 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-LLM_QUERIES = {"op1_packing": op1_packing, "op5_sharding": op5_sharding, "op6_mixing": op6_mixing}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the counts of the rules and the verdict of their votes."""
+    counted = quality_counts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counted = stored(counted.select(F.struct("row.doc_id").alias("row"), "counts"), "quality")
+    return judged(counted).select(
+        "row.doc_id",
+        *(f"counts.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        "base_failed",
+        "kept",
+    )
+
+
+LLM_QUERIES = {"op1_packing": op1_packing, "op5_sharding": op5_sharding, "op6_mixing": op6_mixing, "op9_quality_rules": op9_quality_rules}
 LLM_ORACLES: dict[str, str] = {"op6_mixing": MIX_SQL}
