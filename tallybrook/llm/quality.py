@@ -18,7 +18,7 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 KEEP_FROM = 0.5
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_alnum", "n_upper")
 
 
 def repeated_words(codes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
@@ -70,7 +70,7 @@ def text_counts(text: pa.Array) -> list[np.ndarray]:
         return np.bincount(row, weights=values[codes], minlength=n).astype(np.int64)
 
     lower, upper = pc.utf8_lower(distinct), pc.utf8_upper(distinct)
-    letters = pc.utf8_length(pc.replace_substring_regex(distinct, r"\PL", ""))
+    alnum = pc.utf8_length(pc.replace_substring_regex(distinct, r"[^\pL\pN]", ""))
     # A word that lower-casing changes and upper-casing does not is in capitals.
     capital = pc.and_(pc.not_equal(lower, distinct), pc.equal(upper, distinct))
     lines, duplicates = duplicate_lines(text, n)
@@ -82,8 +82,8 @@ def text_counts(text: pa.Array) -> list[np.ndarray]:
         duplicates,
         repeated_words(codes, row, n),
         lines,
-        summed(letters),
-        summed(pc.if_else(capital, letters, pa.scalar(0, letters.type))),
+        summed(alnum),
+        summed(pc.if_else(capital, alnum, pa.scalar(0, alnum.type))),
     ]
 
 
@@ -139,14 +139,14 @@ RULES = (
         lambda c: c["n_dup_lines"] <= 0.1 * c["n_lines"],
     ),
     Rule(
-        "letters",
-        lambda c: c["n_letters"] < 0.91 * c["word_chars"],
-        lambda c: c["n_letters"] >= 0.93 * c["word_chars"],
+        "marks",
+        lambda c: c["n_alnum"] < 0.91 * c["word_chars"],
+        lambda c: c["n_alnum"] >= 0.93 * c["word_chars"],
     ),
     Rule(
         "capitals",
-        lambda c: c["n_upper"] > 0.5 * c["n_letters"],
-        lambda c: c["n_upper"] <= 0.2 * c["n_letters"],
+        lambda c: c["n_upper"] > 0.5 * c["n_alnum"],
+        lambda c: c["n_upper"] <= 0.2 * c["n_alnum"],
     ),
     Rule(
         "words",
