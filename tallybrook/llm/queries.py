@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.llm.chat import CHAT_SQL, format_chats
 from tallybrook.llm.common import read, stored
 from tallybrook.llm.mixing import MIX_SQL, mix_plan
 from tallybrook.llm.packing import pack_documents
 from tallybrook.llm.quality import judged, quality_counts
 from tallybrook.llm.sharding import record_size, shards
+from tallybrook.llm.urls import URL_SQL, judge_urls
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations that no longer one continues, rendered."""
+    return format_chats(read(spark, sf_dir, "conversations"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the url of every page."""
+    return judge_urls(read(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "row.page_id", "host", "path", "rule", "template", "purity", "verdict"
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in random order in 40 shards with row counts at most one apart."""
     text = F.col("row.text")
@@ -51,5 +65,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LLM_QUERIES = {"op1_packing": op1_packing, "op5_sharding": op5_sharding, "op6_mixing": op6_mixing, "op9_quality_rules": op9_quality_rules}
-LLM_ORACLES: dict[str, str] = {"op6_mixing": MIX_SQL}
+LLM_QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_chat_format": op2_chat_format,
+    "op3_url_filter": op3_url_filter,
+    "op5_sharding": op5_sharding,
+    "op6_mixing": op6_mixing,
+    "op9_quality_rules": op9_quality_rules,
+}
+LLM_ORACLES: dict[str, str] = {"op2_chat_format": CHAT_SQL, "op3_url_filter": URL_SQL, "op6_mixing": MIX_SQL}
