@@ -94,7 +94,7 @@ def mix_plan(
         joined = sized.withColumn("of", source).join(F.broadcast(targets), same)
     else:
         salted = sized.withColumns({"of": source, "salt": F.pmod(F.xxhash64(doc_id, text), F.lit(SALTS))})
-        copied = targets.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        copied = targets.withColumn("at", F.expr(f"explode(sequence(0L, {SALTS - 1}L))"))
         joined = salted.join(copied, same & (F.col("salt") == F.col("at")))
     return joined.select("row", "size", "source_size", "target", (F.floor(rate) + drawn).cast("int").alias("copies"))
 

@@ -11,6 +11,8 @@ from tallybrook.llm.mixing import MIX_SQL, mix_plan
 from tallybrook.llm.packing import pack_documents
 from tallybrook.llm.quality import judged, quality_counts
 from tallybrook.llm.sharding import record_size, shards
+from tallybrook.llm.token_files import round_trip
+from tallybrook.llm.topk import TOPK_SQL, top_k
 from tallybrook.llm.urls import URL_SQL, judge_urls
 
 
@@ -53,6 +55,25 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments of all documents as read back from the written matrix, with checksums of their ids."""
+    return round_trip(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        "sequence_id",
+        "offset",
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("positions").alias("positions_crc32"),
+    )
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of all vectors for each vector whose id is divisible by 100."""
+    vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return top_k(vectors, F.col("id") % 100 == 0)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the counts of the rules and the verdict of their votes."""
     counted = quality_counts(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,6 +92,13 @@ LLM_QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
+    "op7_token_files": op7_token_files,
+    "op8_top_k": op8_top_k,
     "op9_quality_rules": op9_quality_rules,
 }
-LLM_ORACLES: dict[str, str] = {"op2_chat_format": CHAT_SQL, "op3_url_filter": URL_SQL, "op6_mixing": MIX_SQL}
+LLM_ORACLES: dict[str, str] = {
+    "op2_chat_format": CHAT_SQL,
+    "op3_url_filter": URL_SQL,
+    "op6_mixing": MIX_SQL,
+    "op8_top_k": TOPK_SQL,
+}
