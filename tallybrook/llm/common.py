@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Text handled at once inside a task.
 SLICE_BYTES = 4 << 20
 # Distinct words whose token ids a task remembers.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -91,9 +92,11 @@ def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
 class WordTokenizer:
     """Token ids of whole texts, made by encoding each distinct word once.
 
-    The vocabulary's normalizer and pre-tokenizer never join characters across white space,
-    so the ids of a text are those of its words in order; tests hold this against encoding
-    whole texts.
+    The vocabulary's normalizer lower-cases, and its pre-tokenizer parts letters and digits from
+    what follows them and never joins characters across white space. So the ids of a text are
+    those of its words in order, and a word's are those of its lower-cased body and of the
+    punctuation at its end; tests hold this against encoding whole texts. When the memo is
+    full, words met in one slice only are forgotten.
     """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
@@ -102,47 +105,75 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo_words = memo_words
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
-        self.filled = 0
+        self.met = np.zeros(1 << 14, np.uint8)
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.memo_words:
+    def _forget(self) -> None:
+        """Keep the words met again; if these are too many, none."""
+        words = np.array(list(self.known), object)
+        stay = np.flatnonzero(self.met[: len(words)] > 1)
+        if 2 * len(stay) > self.memo_words:
+            stay = stay[:0]
+        starts, lengths = self.ends[stay], self.ends[stay + 1] - self.ends[stay]
+        ids, met = self.ids[spread(starts, lengths)], self.met[stay]
+        self.known = dict(zip(words[stay].tolist(), range(len(stay)), strict=True))
+        self.ids[: len(ids)] = ids
+        self.ends[1 : len(stay) + 1] = np.cumsum(lengths)
+        self.met[:] = 0
+        self.met[: len(met)] = met
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """The places of the words in the memo, after those not in it have been encoded."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        if new and len(known) + len(new) > self.memo_words:
             self._forget()
-        new = [w for w in words if w not in self.known]
-        if not new:
-            return
-        got = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum()))
-        n, start = len(self.known), self.filled
-        self.known.update(zip(new, range(n, n + len(new)), strict=True))
-        while len(self.ends) < n + len(new) + 1:
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while len(self.ids) < start + len(ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[start : start + len(ids)] = ids
-        self.ends[n + 1 : n + 1 + len(new)] = start + np.cumsum(lengths)
-        self.filled = start + len(ids)
+            known = self.known
+            new = [w for w in words if w not in known]
+        if new:
+            got = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            n, start = len(known), self.ends[len(known)]
+            known.update(zip(new, range(n, n + len(new)), strict=True))
+            self.ends, self.met = grown(self.ends, n + len(new) + 1), grown(self.met, n + len(new) + 1)
+            self.ids = grown(self.ids, int(start + lengths.sum()))
+            self.ids[start : start + lengths.sum()] = np.fromiter(chain.from_iterable(got), np.uint32, lengths.sum())
+            self.ends[n + 1 : n + 1 + len(new)] = start + np.cumsum(lengths)
+        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        self.met[at] = np.minimum(self.met[at], 1) + 1
+        return at
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
         distinct, codes, counts = coded_words(text)
-        words = distinct.to_pylist()
-        self._learn(words)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        parts = pc.extract_regex(distinct, r"(?s)^(?P<body>.*[\pL\pN])(?P<tail>[.,;:!?]+)$")
+        body = pc.coalesce(pc.struct_field(parts, "body"), distinct)
+        tail = pc.fill_null(pc.struct_field(parts, "tail"), "")
+        body = pc.if_else(pc.match_substring(body, "<|"), body, pc.ascii_lower(body))
+        both = pa.concat_arrays([body, tail]).dictionary_encode()
+        at = self._learn(both.dictionary.to_pylist())[both.indices.to_numpy(zero_copy_only=False)]
+        # The ids of each distinct word: its body's, then its tail's.
+        at = at.reshape(2, -1).T.ravel()
         starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
-        per_word = lengths[codes]
-        ids = self.ids[spread(starts[codes], per_word)]
+        ids = self.ids[spread(starts, lengths)]
+        of_word = lengths.reshape(-1, 2).sum(1)
+        first = np.cumsum(of_word) - of_word
+        per_word = of_word[codes]
+        ids = ids[spread(first[codes], per_word)]
         ends = np.concatenate([[0], np.cumsum(per_word)])
         bounds = np.concatenate([[0], np.cumsum(counts)])
         return ids, ends[bounds[1:]] - ends[bounds[:-1]]
 
 
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """The array, made longer by doubling until it has ``size`` places."""
+    while len(values) < size:
+        values = np.concatenate([values, np.zeros_like(values)])
+    return values
+
+
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end_id`` after each text."""
     out = np.full(len(ids) + len(lengths), end_id, np.uint32)

@@ -15,6 +15,10 @@ from tallybrook.llm.common import WordTokenizer, binary_column, slices, spread,
 
 WINDOW = 4096
 END_ID = 2
+# Text tokenized at once; the more, the fewer words are looked up twice.
+TOKENIZED_BYTES = 8 << 20
+# Rows of three numbers that a broadcast may have; beyond it the pieces are shuffled by length and task.
+BROADCAST_STARTS = 1_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, task long, place long"
@@ -38,7 +42,7 @@ def token_pieces(
         task = TaskContext.get().partitionId()
         used = np.zeros(window + 1, np.int64)
         for batch in batches:
-            for part, text in slices(batch, batch.column("text")):
+            for part, text in slices(batch, batch.column("text"), TOKENIZED_BYTES):
                 ids, tokens = with_end(*tokenizer.encode(text), end_id)
                 pieces = -(-tokens // window)
                 doc = np.repeat(np.arange(len(tokens)), pieces)
@@ -169,6 +173,8 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
 
     earlier = F.sum("n").over(_before())
     starts = by_task.select("length", "task", (earlier - F.col("n")).alias("base"))
+    small = by_task.count() <= BROADCAST_STARTS
+    starts = F.broadcast(starts) if small else starts.hint("shuffle_hash")
     ranked = pieces.join(starts, ["length", "task"]).select(*names, (F.col("base") + F.col("place")).alias("rank"))
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", sequence_id long, offset long"
     return ranked.mapInArrow(place, schema)
