@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm.chat import CHAT_SQL, format_chats
 from tallybrook.llm.common import read, stored
 from tallybrook.llm.mixing import MIX_SQL, mix_plan
+from tallybrook.llm.near_dups import near_duplicates
 from tallybrook.llm.packing import pack_documents
 from tallybrook.llm.quality import judged, quality_counts
 from tallybrook.llm.sharding import record_size, shards
@@ -86,6 +87,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document under links of four-word shingles."""
+    return near_duplicates(read(spark, sf_dir, "documents"), size=4)
+
+
 LLM_QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
@@ -95,6 +101,7 @@ LLM_QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_top_k": op8_top_k,
     "op9_quality_rules": op9_quality_rules,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 LLM_ORACLES: dict[str, str] = {
     "op2_chat_format": CHAT_SQL,
