@@ -14,6 +14,7 @@ from tallybrook.llm.quality import judged, quality_counts
 from tallybrook.llm.sharding import record_size, shards
 from tallybrook.llm.token_files import round_trip
 from tallybrook.llm.topk import TOPK_SQL, top_k
+from tallybrook.llm.toxicity import THRESHOLD, fit, held_out, toxicity
 from tallybrook.llm.urls import URL_SQL, judge_urls
 
 
@@ -36,6 +37,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of each whole text, learned from labels that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, fit(docs, read(spark, sf_dir, "labels"))).select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in random order in 40 shards with row counts at most one apart."""
     text = F.col("row.text")
@@ -96,6 +108,7 @@ LLM_QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
     "op3_url_filter": op3_url_filter,
+    "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_token_files": op7_token_files,
