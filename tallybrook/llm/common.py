@@ -19,6 +19,9 @@ SPACES = r"\x20\x09-\x0D"
 WORD = f"[^{SPACES}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Latin letters and digits that no normalization turns into a letter with a mark.
+LATIN = r"A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
+
 # Text handled at once inside a task.
 SLICE_BYTES = 4 << 20
 # Distinct words whose token ids a task remembers.
@@ -95,7 +98,7 @@ class WordTokenizer:
     The vocabulary's normalizer lower-cases, and its pre-tokenizer parts letters and digits from
     what follows them and never joins characters across white space. So the ids of a text are
     those of its words in order, and a word's are those of its lower-cased body and of the
-    punctuation at its end; tests hold this against encoding whole texts. When the memo is
+    punctuation after a Latin letter or digit at its end; tests hold this against encoding whole texts. When the memo is
     full, words met in one slice only are forgotten.
     """
 
@@ -148,7 +151,7 @@ class WordTokenizer:
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
         distinct, codes, counts = coded_words(text)
-        parts = pc.extract_regex(distinct, r"(?s)^(?P<body>.*[\pL\pN])(?P<tail>[.,;:!?]+)$")
+        parts = pc.extract_regex(distinct, rf"(?s)^(?P<body>.*[{LATIN}])(?P<tail>[.,;:!?]+)$")
         body = pc.coalesce(pc.struct_field(parts, "body"), distinct)
         tail = pc.fill_null(pc.struct_field(parts, "tail"), "")
         body = pc.if_else(pc.match_substring(body, "<|"), body, pc.ascii_lower(body))
