@@ -33,11 +33,12 @@ def replace_values(df: DataFrame, replacements: dict, columns: list[str]) -> Dat
     return df.na.replace(replacements, subset=columns)
 
 
-def conform(df: DataFrame, schema: T.StructType, rejects: str = "_rejects") -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, rejects: str = "_rejects", raw: str = "_raw") -> DataFrame:
     """Bring loaded rows to a declared schema, by name.
 
     ``rejects`` lists what was wrong with a row: a value that does not fit its type, or null
-    in a column declared not nullable. `accepted` and `rejected` part the two kinds.
+    in a column declared not nullable. `accepted` and `rejected` part the two kinds; the latter
+    keeps each row as it was loaded in a struct named by ``raw``, so that it can be mended.
     """
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
@@ -49,11 +50,11 @@ def conform(df: DataFrame, schema: T.StructType, rejects: str = "_rejects") -> D
         if not f.nullable:
             problems.append(F.when(F.col(f.name).isNull(), F.lit(f"{f.name}: missing")))
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    return df.select(*typed, F.array_compact(F.array(*problems)).alias(rejects))
+    return df.select(*typed, F.array_compact(F.array(*problems)).alias(rejects), F.struct("*").alias(raw))
 
 
-def accepted(conformed: DataFrame, rejects: str = "_rejects") -> DataFrame:
-    return conformed.where(F.size(rejects) == 0).drop(rejects)
+def accepted(conformed: DataFrame, rejects: str = "_rejects", raw: str = "_raw") -> DataFrame:
+    return conformed.where(F.size(rejects) == 0).drop(rejects, raw)
 
 
 def rejected(conformed: DataFrame, rejects: str = "_rejects") -> DataFrame:

@@ -57,16 +57,19 @@ def reduce_by_key(
 
     For functions that Spark lacks; use its own aggregates otherwise. Each task merges its
     rows first; partial results then meet sorted by key and are merged as they pass, so no
-    task ever holds a whole group. With no keys the whole column is reduced to one row.
+    task ever holds a whole group. Nulls are passed over; a key with nothing else has null. With
+    no keys the whole column is reduced to one row, to none when there are no rows at all.
     """
     grouping = keys or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
-    source = source.select(*grouping, value).where(F.col(value).isNotNull())
+    source = source.select(*grouping, value)
 
     def merged(table: pa.Table) -> pa.Table:
         # Arrow types keep whole numbers beside nulls as they are.
         pdf = table.to_pandas(types_mapper=pd.ArrowDtype)
-        reduced = pdf.groupby(grouping, as_index=False, dropna=False, sort=False)[value].agg(merge)
+        found = pdf[pdf[value].notna()].groupby(grouping, as_index=False, dropna=False, sort=False)[value].agg(merge)
+        # All keys in order of appearance, also those without a value.
+        reduced = pdf[grouping].drop_duplicates().merge(found, "left", grouping)
         return pa.Table.from_pandas(reduced, schema=table.schema, preserve_index=False)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,10 +103,10 @@ def values_per_key(df: DataFrame, keys: list[str], value: str, name: str = "vals
     """Sorted array of a key's distinct values.
 
     Distinct pairs are formed before anything is collected, so copies never reach the array.
-    Where a key may have very many values, ``parts`` cuts its array over as many rows,
-    numbered in a column ``part``.
+    A key without values has an empty array. Where a key may have very many values, ``parts``
+    cuts its array over as many rows, numbered in a column ``part``.
     """
-    pairs = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
+    pairs = df.select(*keys, value).distinct()
     grouping = list(keys)
     if parts > 1:
         pairs = pairs.withColumn("part", F.pmod(F.xxhash64(value), F.lit(parts)).cast("int"))

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybrook.operators.joins import is_small
-
 
 def _addend(df: DataFrame, value: str, exact: str | None) -> tuple[Column, str]:
     """The column as summed, and the type of the sum.
@@ -44,13 +42,10 @@ def sum_avg_through_join(
 ) -> DataFrame:
     """`sum_avg_by` over ``facts`` joined with ``groups``.
 
-    Groups small enough to broadcast are joined inside the scan of the facts. Otherwise the
-    facts are summed per join key first: the join then meets one fact row per key, whatever
-    share of the facts that key holds.
+    The facts are summed per join key first, at every size: the join then meets one fact row
+    per key, whatever share of the facts that key holds.
     """
     groups = groups.select(on, *keys)
-    if is_small(groups):
-        return sum_avg_by(facts.join(F.broadcast(groups), on), keys, value, sum_name, avg_name, exact)
     addend, sum_type = _addend(facts, value, exact)
     per_key = facts.groupBy(on).agg(F.sum(addend).alias("_sum"), F.count(value).alias("_rows"))
     return (

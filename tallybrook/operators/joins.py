@@ -1,4 +1,4 @@
-"""Equi-joins and time-range joins that stay even when one key holds much of the data."""
+"""Equi-joins and time-range joins, with salts for a side that one key may fill."""
 
 from __future__ import annotations
 
@@ -6,16 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybrook.session import broadcast_limit, planned_bytes
-
-# A side below this size has no key too large for one task, and is not searched for one.
-SEARCH_FROM_BYTES = 128 * 1024 * 1024
-ROWS_PER_TASK = 2_000_000
-MAX_SPLITS = 4096
-# Bounds of the broadcast list of hot keys: this many keys, none longer than this.
-HOT_KEYS = 100_000
-HOT_KEY_BYTES = 256
-
 _KINDS = {
     "inner": "inner",
     "left": "left",
@@ -27,62 +17,15 @@ _KINDS = {
 }
 
 
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mark a batch frame for broadcast when its estimated size is below the limit.
-
-    The limit is the session's own broadcast threshold. A larger frame comes back unmarked
-    and is joined by shuffling. A streaming frame has no size and is never marked.
-    """
-    if df.isStreaming:
-        return df
-    limit = broadcast_limit(df.sparkSession) if limit is None else limit
-    return F.broadcast(df) if planned_bytes(df) <= limit else df
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the planner's estimate is below the session's broadcast threshold."""
-    return planned_bytes(df) <= broadcast_limit(df.sparkSession)
-
-
-def hot_keys(df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK, name: str = "_splits") -> DataFrame:
-    """The keys too large for one task, with the number of splits for each.
-
-    At most `HOT_KEYS` keys of at most `HOT_KEY_BYTES`, so the frame may always be broadcast.
-    Further hot keys are merely not split; no result depends on it.
-    """
-    keys = df.select(*on).dropna()
-    texts = [F.octet_length(c) for c in on if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
-    if texts:
-        keys = keys.where(sum(texts[1:], texts[0]) <= HOT_KEY_BYTES)
-    counted = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    heaviest = counted.where(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
-    splits = F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(MAX_SPLITS)).cast("int")
-    return heaviest.select(*on, splits.alias(name))
-
-
-def _row_salt(df: DataFrame, salts: Column) -> Column:
+def _row_salt(df: DataFrame, salts: int) -> Column:
     """A salt from the row and the number of its partition: the same on every attempt of a
     task, unlike a random one, and different for copies of a row in different partitions."""
     columns = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), salts)
-
-
-def _split(df: DataFrame, hot: DataFrame, on: list[str], salt: str) -> DataFrame:
-    """Give each row of a hot key one of the key's salts. Null keys never match and are
-    spread as well."""
-    spread = F.when(F.col("_splits").isNotNull(), _row_salt(df, F.col("_splits")))
-    for key in on:
-        spread = F.when(F.col(key).isNull(), _row_salt(df, F.lit(MAX_SPLITS))).otherwise(spread)
-    marked = df.join(F.broadcast(hot), on, "left")
-    return marked.withColumn(salt, F.coalesce(spread, F.lit(0)).cast("int")).select(*df.columns, salt)
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)).cast("int")
 
 
-def _replicate(df: DataFrame, hot: DataFrame, on: list[str], salt: str, hot_flag: str | None = None) -> DataFrame:
-    """Copy each row of a hot key to all of the key's salts."""
-    marked = df.join(F.broadcast(hot), on, "left")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)).alias(salt)
-    flag = [F.col("_splits").isNotNull().alias(hot_flag)] if hot_flag else []
-    return marked.select(*df.columns, *flag, copies)
+def _every_salt(salts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
 
 def _check_keys(left: DataFrame, right: DataFrame, on: list[str]) -> None:
@@ -98,47 +41,46 @@ def equi_join(
     on: str | list[str],
     how: str = "inner",
     split: str | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-    search_from_bytes: int = SEARCH_FROM_BYTES,
+    salts: int = 1,
 ) -> DataFrame:
     """Join on same-named keys, which appear once in the result.
 
     Adaptive execution splits hot keys of both sides of an inner join and of the kept side
     of an outer, semi or anti join. It cannot split the other side of an outer join: name
-    that side in ``split`` ("left" or "right") and its hot keys are salted, with the rows of
-    the other side copied to every salt. Looking for them reads the key columns once more,
-    so it is left out for a side below ``search_from_bytes``. Semi and anti joins reduce the
-    right side to its distinct keys first.
+    that side in ``split`` ("left" or "right") and give a number of ``salts``. Its rows are then dealt
+    to the salts and the rows of the other side copied to each, so a key's rows are spread over
+    ``salts`` tasks. A kept row without a partner is found by the distinct keys of the split
+    side and not by its copies. The plan depends on these arguments alone, never on an
+    estimate of sizes. Semi and anti joins reduce the right side to its distinct keys first.
     """
     on = [on] if isinstance(on, str) else list(on)
     kind = _KINDS[how]
     _check_keys(left, right, on)
+    if split not in (None, "left", "right"):
+        raise ValueError("split names a side: left or right")
+    if salts < 1 or (salts > 1 and split is None):
+        raise ValueError("salts is at least 1, and more need a side to split")
     if kind in ("left_semi", "left_anti"):
         right = right.select(*on).distinct()
         if split == "right":
             split = None
-    if split not in (None, "left", "right"):
-        raise ValueError("split names a side: left or right")
-    source, other = (left, right) if split == "left" else (right, left)
-    if split is None or source.isStreaming or planned_bytes(source) < search_from_bytes:
+    if split is None or salts == 1:
         return left.join(right, on, kind)
-
     names = left.columns if kind.startswith("left_") else left.columns + [c for c in right.columns if c not in on]
     names = on + [c for c in names if c not in on]
     salted = [*on, "_salt"]
-    hot = hot_keys(source, on, rows_per_task)
+    parts = {"left": left, "right": right}
+    other = "right" if split == "left" else "left"
+    source, copied = parts[split], parts[other]
+    parts[split] = source.withColumn("_salt", _row_salt(source, salts))
+    parts[other] = copied.withColumn("_salt", _every_salt(salts))
     if kind in ("inner", split) or kind.startswith("left_"):
         # Every row of the split side keeps exactly one salt: the join is right as it stands.
-        parts = {split: _split(source, hot, on, "_salt")}
-        parts["left" if split == "right" else "right"] = _replicate(other, hot, on, "_salt")
         return parts["left"].join(parts["right"], salted, kind).select(*names)
-    # The copied side is the kept one. A hot key has partners for certain, so a copy of it
-    # without a partner only met a salt that got no row, and goes.
-    source = _split(source.withColumn("_found", F.lit(True)), hot, on, "_salt")
-    other = _replicate(other, hot, on, "_salt", hot_flag="_hot")
-    both = (other, source) if split == "right" else (source, other)
-    joined = both[0].join(both[1], salted, kind)
-    return joined.where(F.coalesce("_found", ~F.col("_hot"))).select(*names)
+    # The copied side is the kept one: pairs first, then its rows whose key has no partner at all.
+    pairs = parts["left"].join(parts["right"], salted, "inner").select(*names)
+    alone = copied.join(source.select(*on).distinct(), on, "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True).select(*names)
 
 
 def range_join(
@@ -149,8 +91,7 @@ def range_join(
     point_time: str,
     start_time: str,
     seconds: int,
-    hot_points: DataFrame | None = None,
-    hot_starts: DataFrame | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Pairs of the same key with ``start <= point <= start + seconds``; batch or stream.
 
@@ -160,64 +101,41 @@ def range_join(
     slots and not against all rows of its key. On streams, set watermarks on both sides
     first; the time condition lets Spark drop old state.
 
-    Where much of a key falls into one slot, adaptive execution splits the slot in a batch.
-    It does not do so in a stream: pass the hot keys of either side there, from
-    `stored_hot_keys`, to have them salted.
+    Where the points of a key may fill a slot, ``salts`` deals them to as many parts and copies the
+    starts to each. The number is part of the plan, in a batch and in a stream, whichever keys
+    are or grow hot; a stream's checkpoint is bound to it.
     """
 
     def slot(time: str) -> Column:
         return F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / seconds).cast("bigint")
 
-    salts = []
-    for salt, hot, by_point in (("_point_salt", hot_points, True), ("_start_salt", hot_starts, False)):
-        if hot is None:
-            continue
-        for_points, for_starts = hot.toDF(point_key, "_splits"), hot.toDF(start_key, "_splits")
-        split, copy = (_split, _replicate) if by_point else (_replicate, _split)
-        points = split(points, for_points, [point_key], salt)
-        starts = copy(starts, for_starts, [start_key], salt).withColumnRenamed(salt, f"{salt}_of_start")
-        salts.append(F.col(salt) == F.col(f"{salt}_of_start"))
-    slotted_points = points.withColumn("_point_slot", slot(point_time))
+    if salts < 1:
+        raise ValueError("salts is at least 1")
+    slotted_points = points.withColumns({"_point_slot": slot(point_time), "_point_salt": _row_salt(points, salts)})
     first = slot(start_time)
     slotted_starts = starts.withColumn("_start_slot", F.explode(F.array(first, first + 1)))
+    slotted_starts = slotted_starts.withColumn("_start_salt", _every_salt(salts))
     condition = (
         (F.col(point_key) == F.col(start_key))
         & (F.col("_point_slot") == F.col("_start_slot"))
+        & (F.col("_point_salt") == F.col("_start_salt"))
         & (F.col(point_time) >= F.col(start_time))
         & (F.col(point_time) <= F.col(start_time) + F.expr(f"INTERVAL {int(seconds)} SECONDS"))
     )
-    for same_salt in salts:
-        condition = condition & same_salt
-    joined = slotted_points.join(slotted_starts, condition).drop("_point_slot", "_start_slot")
-    return joined.drop("_point_salt", "_point_salt_of_start", "_start_salt", "_start_salt_of_start")
-
-
-def stored_hot_keys(
-    history: DataFrame,
-    key: str,
-    path: str,
-    rows_per_task: int = ROWS_PER_TASK,
-    search_from_bytes: int = SEARCH_FROM_BYTES,
-) -> DataFrame | None:
-    """The hot keys of the rows a stream has at its first start, kept in a folder for good.
-
-    A later start on the same folder gets the same list, since the state of a stream join is
-    laid out by it. None when there are none. Keys that grow hot later are not split.
-    """
-    found = hot_keys(history, [key], rows_per_task)
-    if planned_bytes(history) < search_from_bytes:
-        found = found.where(F.lit(False))
-    found.write.mode("ignore").parquet(path)
-    stored = history.sparkSession.read.schema(found.schema).parquet(path)
-    return None if stored.isEmpty() else stored
+    joined = slotted_points.join(slotted_starts, condition)
+    return joined.drop("_point_slot", "_start_slot", "_point_salt", "_start_salt")
 
 
-def with_attributes(facts: DataFrame, attributes: DataFrame, fact_key: str, attribute_key: str) -> DataFrame:
+def with_attributes(
+    facts: DataFrame, attributes: DataFrame, fact_key: str, attribute_key: str, broadcast: bool = False
+) -> DataFrame:
     """Inner join to a static frame, keeping both key columns; facts may be a stream.
 
-    The static side is broadcast when small enough and shuffled otherwise.
+    A batch is left to Spark, which sees the sizes of shuffles as they are written. A stream's
+    plan is fixed at each batch; who knows that the static side stays small says ``broadcast``.
     """
     kinds = [facts.schema[fact_key].dataType, attributes.schema[attribute_key].dataType]
     if sum(isinstance(k, T.StringType) for k in kinds) == 1:
         raise TypeError(f"{fact_key} and {attribute_key}: only one of them is text; cast it first")
-    return facts.join(broadcast_if_small(attributes), F.col(fact_key) == F.col(attribute_key))
+    side = F.broadcast(attributes) if broadcast else attributes
+    return facts.join(side, F.col(fact_key) == F.col(attribute_key))

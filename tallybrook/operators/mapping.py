@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,20 +46,30 @@ def map_with_setup(
 
 
 def as_record(df: DataFrame, value: str, field: str = "number") -> DataFrame:
-    """One-field records of a column, as a struct named ``record``."""
-    return df.select(F.struct(F.col(value).alias(field)).alias("record"))
+    """A column mapped to records of one field, of a declared schema."""
+    kind = df.schema[value].dataType.simpleString()
+    return map_frames(df.select(value), lambda batch: batch.set_axis([field], axis=1), f"`{field}` {kind}")
 
 
-def for_each_task(df: DataFrame, write: Callable[[int, Iterator], None]) -> None:
-    """Run a writer on the executors, once per task, with the partition number and its rows.
+def for_each_task(df: DataFrame, write: Callable[[int, Iterator[pa.RecordBatch]], None]) -> int:
+    """Run a writer on the executors, once per task, with the partition number and its Arrow batches.
 
-    A task may run again after a lost executor: the writer must replace what it wrote under
-    the same number.
+    Returns the number of rows written. A task may run again after a lost executor: the
+    writer must replace what it wrote under the same number.
     """
 
-    def run(rows: Iterator) -> None:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        write(TaskContext.get().partitionId(), rows)
+        rows = 0
 
-    df.foreachPartition(run)
+        def counted() -> Iterator[pa.RecordBatch]:
+            nonlocal rows
+            for batch in batches:
+                rows += batch.num_rows
+                yield batch
+
+        write(TaskContext.get().partitionId(), counted())
+        yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64())], names=["n"])
+
+    return df.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.session import planned_bytes
-
-SMALL_INPUT_BYTES = 16 * 1024 * 1024
-
 
 def project(df: DataFrame, *columns: str | Column) -> DataFrame:
     return df.select(*columns)
@@ -56,18 +52,6 @@ def sample_by_key(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return df.where(F.md5(F.col(key).cast("string").cast("binary")) < bound)
 
 
-def spread_small_input(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
-    """Use all cores on an input that is too small to be split by the scan.
-
-    A file of one row group is read by one task. Its rows are dealt out only while the
-    whole input is below 16 MB per core; larger inputs have splits enough and are left alone.
-    A stream has no size of its own: ``measure`` is the batch frame of its first files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    small = planned_bytes(df if measure is None else measure) < cores * SMALL_INPUT_BYTES
-    return df.repartition(cores) if small else df
-
-
 def repartition(df: DataFrame, n: int, *columns: str) -> DataFrame:
     """Exactly n partitions, dealt out evenly or by the hash of columns."""
     return df.repartition(n, *columns)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from tallybrook.functions.values import event_time, number_label
 from tallybrook.operators import cleaning, counting, grouping, joins, mapping, ordering, shaping
 from tallybrook.operators.profile import profile
 from tallybrook.plans import lottery, staff, streams, words
-from tallybrook.session import partitions_for, session_settings, work_folder
+from tallybrook.session import session_settings, work_folder
 from tallybrook.sources import catalog, files
 from tallybrook.streaming import events, inputs, results, topics
 
@@ -41,7 +44,7 @@ def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaping.spread_small_input(load(spark, sf_dir, "documents").select("text"))
+    return load(spark, sf_dir, "documents").select("text")
 
 
 # --- words -------------------------------------------------------------------------------
@@ -178,40 +181,46 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
 
-def large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").where(F.col("o_totalprice") > 200000)
-    return orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+def all_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+
+
+# Parts that the side an outer join cannot split by itself is dealt to.
+SALTS = 8
 
 
 @query
 def join_inner(spark, sf_dir):
-    return joins.equi_join(large_orders(spark, sf_dir), customers(spark, sf_dir), "c_custkey")
+    return joins.equi_join(all_orders(spark, sf_dir), customers(spark, sf_dir), "c_custkey")
 
 
 @query
 def join_left(spark, sf_dir):
-    return joins.equi_join(customers(spark, sf_dir), large_orders(spark, sf_dir), "c_custkey", "left", split="right")
+    return joins.equi_join(customers(spark, sf_dir), all_orders(spark, sf_dir), "c_custkey", "left", "right", SALTS)
 
 
 @query
 def join_right(spark, sf_dir):
-    wealthy = load(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0).select("c_custkey", "c_name")
-    return joins.equi_join(wealthy, large_orders(spark, sf_dir), "c_custkey", "right")
+    """All documents with their labels, where they have any."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return joins.equi_join(load(spark, sf_dir, "labels"), documents, "doc_id", "right")
 
 
 @query
 def join_semi(spark, sf_dir):
-    return joins.equi_join(customers(spark, sf_dir), large_orders(spark, sf_dir), "c_custkey", "semi")
+    documents = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return joins.equi_join(documents, load(spark, sf_dir, "labels"), "doc_id", "semi")
 
 
 @query
 def join_anti(spark, sf_dir):
-    return joins.equi_join(customers(spark, sf_dir), large_orders(spark, sf_dir), "c_custkey", "anti")
+    documents = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return joins.equi_join(documents, load(spark, sf_dir, "labels"), "doc_id", "anti")
 
 
 @query
 def join_static(spark, sf_dir):
-    """Supplier rows with their nation; the nations are broadcast while they are small."""
+    """Supplier rows with their nation."""
     suppliers = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nations = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return joins.with_attributes(suppliers, nations, "s_nationkey", "n_nationkey")
@@ -266,7 +275,7 @@ def distinct(spark, sf_dir):
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    return joins.equi_join(documents, load(spark, sf_dir, "labels"), "doc_id", "left", split="right")
+    return joins.equi_join(documents, load(spark, sf_dir, "labels"), "doc_id", "left", "right", SALTS)
 
 
 @query
@@ -300,7 +309,14 @@ def sample_by_key(spark, sf_dir):
 
 @query
 def sample_random(spark, sf_dir):
-    return shaping.sample_rows(load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 0.3, 7)
+    """Facts about a random sample: a part of the table near the share, the same for the same seed."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    one, two = (shaping.sample_rows(orders, 0.3, 7) for _ in range(2))
+    facts = one.agg(F.count("*").alias("n")).join(orders.agg(F.count("*").alias("all")))
+    facts = facts.join(one.exceptAll(two).agg(F.count("*").alias("other")))
+    facts = facts.join(one.join(orders, ["o_orderkey", "o_totalprice"], "left_anti").agg(F.count("*").alias("foreign")))
+    near = F.abs(F.col("n") - 0.3 * F.col("all")) <= 5 * F.sqrt(0.21 * F.col("all")) + 1
+    return facts.select(near.alias("share_is_near"), (F.col("other") == 0).alias("repeats"), (F.col("foreign") == 0).alias("is_part"))
 
 
 @query
@@ -309,7 +325,7 @@ def repartition_write(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     files.write_table(shaping.balanced(orders, "o_custkey"), f"{folder}/balanced")
     stored = files.read_table(spark, f"{folder}/balanced")
-    parts = 2 * partitions_for(stored)
+    parts = 2 * spark.sparkContext.defaultParallelism
     dealt = shaping.coalesce(shaping.repartition(stored, 2 * parts), parts)
     files.write_table(dealt, f"{folder}/dealt")
     return files.read_table(spark, f"{folder}/dealt")
@@ -361,7 +377,7 @@ def conform_accepted(spark, sf_dir):
 @query
 def conform_rejected(spark, sf_dir):
     bad = cleaning.rejected(cleaning.conform(rough_orders(spark, sf_dir), ORDER_SCHEMA))
-    return bad.select("o_orderkey", F.array_join("_rejects", "; ").alias("reasons"))
+    return bad.select("o_orderkey", F.array_join("_rejects", "; ").alias("reasons"), F.col("_raw.o_totalprice").alias("loaded"))
 
 
 @query
@@ -414,24 +430,43 @@ def vector_labels(spark, sf_dir):
 
 @query
 def map_record(spark, sf_dir):
-    records = mapping.as_record(load(spark, sf_dir, "orders"), "o_orderkey")
-    return records.select("record.number")
+    return mapping.as_record(load(spark, sf_dir, "orders"), "o_orderkey")
+
+
+BRACKETS = [-500.0, 0.0, 250.0, 1000.0, 5000.0]
 
 
 @query
 def map_partitions(spark, sf_dir):
-    """Digests made by a hasher that each task sets up once."""
+    """Brackets of uneven width, looked up for whole batches in a table that each task makes once."""
 
-    def digests(hasher, batch):
-        marks = []
-        for name in batch["c_name"]:
-            one = hasher.copy()
-            one.update(name.encode("utf-8"))
-            marks.append(one.hexdigest())
-        return batch.assign(digest=marks)
+    def bracket(bounds, batch):
+        return batch.assign(bracket=np.searchsorted(bounds, batch["c_acctbal"], side="right").astype("int32"))
 
-    people = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return mapping.map_with_setup(people, hashlib.md5, digests, "c_custkey bigint, c_name string, digest string")
+    people = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return mapping.map_with_setup(
+        people, lambda: np.array(BRACKETS), bracket, "c_custkey bigint, c_acctbal double, bracket int"
+    )
+
+
+@query
+def task_writer(spark, sf_dir):
+    """Rows that each task has written by itself, read back from the shared folder."""
+    folder = work_folder(spark, "task_writer")
+
+    def write(number, batches):
+        system, path = pa.fs.FileSystem.from_uri(folder)
+        system.create_dir(path, recursive=True)
+        with pq.ParquetWriter(f"{path}/part-{number:05d}.parquet", SCHEMA, filesystem=system) as writer:
+            for batch in batches:
+                writer.write_batch(batch.cast(SCHEMA))
+
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    mapping.for_each_task(orders, write)
+    return spark.read.schema("o_orderkey bigint, o_orderstatus string").parquet(folder)
+
+
+SCHEMA = pa.schema([("o_orderkey", pa.int64()), ("o_orderstatus", pa.string())])
 
 
 @query
@@ -443,7 +478,9 @@ def map_frames(spark, sf_dir):
 
 @query
 def keyed_reduce(spark, sf_dir):
-    values = load(spark, sf_dir, "events").select("user_id", "value")
+    """Clicks have no value here: users with nothing else have none either."""
+    value = F.when(F.col("event_type") != "click", F.col("value")).alias("value")
+    values = load(spark, sf_dir, "events").select("user_id", value)
     return counting.reduce_by_key(values, ["user_id"], "value", lambda series: series.max())
 
 
@@ -545,7 +582,7 @@ def part_files(spark, sf_dir):
     folder = work_folder(spark, "part_files")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     files.write_table(shaping.balanced(orders, "o_orderstatus"), folder, partition_by=["o_orderstatus"])
-    return files.read_part(spark, files.read_table(spark, folder).inputFiles(), folder)
+    return files.read_part(spark, f"{folder}/o_orderstatus=*/*.parquet", folder)
 
 
 @query
@@ -575,8 +612,7 @@ WINDOW_KEYS = ["window_start", "window_end"]
 @query
 def stream_wc(spark, sf_dir):
     with results.stream_settings(spark):
-        measure = load(spark, sf_dir, "documents").select("text")
-        documents = shaping.spread_small_input(stream(spark, sf_dir, "documents").select("text"), measure)
+        documents = stream(spark, sf_dir, "documents").select("text")
         counts = streams.running_word_count(documents, "text", SPACE_OR_NEWLINE)
         return results.run_to_table(counts, work_folder(spark, "stream_wc"), "complete")
 
@@ -655,7 +691,6 @@ def stream_stream(spark, sf_dir):
     with results.stream_settings(spark):
         clicks, _ = clicks_and_views(stream(spark, sf_dir, "events"))
         _, views = clicks_and_views(stream(spark, sf_dir, "events"))
-        old_clicks, old_views = clicks_and_views(load(spark, sf_dir, "events"))
         pairs = streams.actions_after_posting(
             clicks,
             views,
@@ -663,8 +698,7 @@ def stream_stream(spark, sf_dir):
             "view_user",
             "click_ts",
             "view_ts",
-            hot_actions=joins.stored_hot_keys(old_clicks, "user_id", f"{folder}/hot_clicks"),
-            hot_postings=joins.stored_hot_keys(old_views, "view_user", f"{folder}/hot_views"),
+            salts=2,
         )
         return results.run_to_table(zoneless(pairs), folder, "append")
 
@@ -682,7 +716,7 @@ def keyed_avg(spark, sf_dir):
             messages, work_folder(spark, "keyed_avg"), trigger=results.ONCE, as_type=MONEY
         )
         results.wait_for_all(*running)
-    return clients.read().withColumn("avgCPUUsage", F.round("avgCPUUsage", 6))
+    return clients.read().withColumn("average_value", F.round("average_value", 6))
 
 
 @query
@@ -721,6 +755,69 @@ def stream_passthrough(spark, sf_dir):
     return files.read_table(spark, f"{folder}/out")
 
 
+@query
+def late_words(spark, sf_dir):
+    """Three files in order of arrival, the last with lines of the first day: these come too late."""
+    folder = work_folder(spark, "late_words")
+    time = event_time(load(spark, sf_dir, "events"), "ts")
+    source = load(spark, sf_dir, "events").select(
+        time.cast("date").alias("day"), F.concat_ws(",", time.cast("string"), "event_type").alias("value")
+    )
+    first = source.agg(F.min("day").alias("first"))
+    arrivals = [
+        source.join(first, F.col("day") == F.col("first")),
+        source.join(first, F.col("day") > F.date_add("first", 1)),
+        source.join(first, F.col("day") == F.col("first")),
+    ]
+    keys = [*WINDOW_KEYS, "word"]
+    with results.stream_settings(spark):
+        for rows in arrivals:
+            # One run after the other, so that each arrival is a micro-batch of its own.
+            rows.select("value").write.mode("append").text(f"{folder}/in")
+            lines = inputs.line_stream(spark, f"{folder}/in")
+            counts = events.flat_windows(streams.windowed_word_count(lines, "10 minutes", "5 minutes"))
+            table = results.run_to_table(counts, folder, "update", keys)
+    return table
+
+
+@query
+def late_rows(spark, sf_dir):
+    """How many of the lines of `late_words` were dropped."""
+    table = late_words(spark, sf_dir)
+    days = load(spark, sf_dir, "events").select(event_time(load(spark, sf_dir, "events"), "ts").cast("date").alias("day"))
+    first = days.agg(F.min("day").alias("first"))
+    given = days.join(first, F.col("day") == F.col("first")).select("day")
+    given = given.unionAll(given).unionAll(days.join(first, F.col("day") > F.date_add("first", 1)).select("day"))
+    return results.rows_dropped_late(given, table, "day")
+
+
+@query
+def stream_every_second(spark, sf_dir):
+    """A stream under a timed trigger, ended when it has taken all input."""
+    with results.stream_settings(spark):
+        rows = stream(spark, sf_dir, "orders")
+        counts = counting.count_by(rows, "o_orderstatus", name="count")
+        running, table = results.start_table(
+            counts, work_folder(spark, "stream_every_second"), "complete", trigger={"processingTime": "1 second"}
+        )
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    return table.read()
+
+
+@query
+def cleaning_job(spark, sf_dir):
+    """The cleaning job as one chain: one row per customer of each order, masked, renamed, a row per word of its name."""
+    orders = load(spark, sf_dir, "orders").select("o_custkey").withColumnRenamed("o_custkey", "c_custkey")
+    people = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    both = cleaning.one_per_key(people.join(orders, "c_custkey"), ["c_custkey"], ["c_name"])
+    masked = staff.masked_records(both, "c_custkey", "c_name", "c_nationkey", {"c_mktsegment": "segment"}, salt="brook")
+    words_ = masked.withColumn("parts", F.split("c_name", "#")).drop("c_name")
+    return shaping.unfold(words_, "parts", "part")
+
+
 @query
 def stream_restart(spark, sf_dir):
     """The same stream started twice on one checkpoint: the second run adds nothing."""

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallybrook.operators.counting import count_by
 from tallybrook.operators.grouping import distribution, max_by_group
-from tallybrook.operators.joins import is_small
 
 
 def multiplier_distribution(
@@ -18,18 +17,14 @@ def multiplier_distribution(
     Only winners since a batch count, with all their entries, earlier ones too. A number
     that won more than once counts its copies once per win.
 
-    Winners small enough to broadcast thin out the entries inside the scan. Otherwise copies
-    are counted and their maximum taken before the join, so that the join meets each number
-    once per side.
+    Entries meet the winners' numbers first, so those of numbers that never won go before
+    anything is counted. Where that join shuffles, it does so by number, and both groupings
+    use the same partitions.
     """
     recent = winners.where(F.col(batch) >= F.lit(since)).select(number)
     wins = count_by(recent, number, name="wins")
     entries = entries.select(number, batch)
     multiplier = (F.col("copies") * F.col("wins")).alias("multiplier")
-    if is_small(recent):
-        copies = count_by(entries.join(F.broadcast(wins), number), batch, number, "wins", name="copies")
-        multipliers = max_by_group(copies.select(number, multiplier), [number], "multiplier")
-    else:
-        most = max_by_group(count_by(entries, batch, number, name="copies"), [number], "copies")
-        multipliers = most.join(wins, number).select(number, multiplier)
+    copies = count_by(entries.join(wins, number), batch, number, "wins", name="copies")
+    multipliers = max_by_group(copies.select(number, multiplier), [number], "multiplier")
     return distribution(multipliers, "multiplier")

@@ -8,7 +8,6 @@ ALL_WORDS = f"(select unnest(string_split(line, ' ')) as word from {LINES})"
 PAIRS = f"""(select unnest(list_transform(range(1, len(w)), lambda i: w[i] || '-' || w[i + 1])) as pair
   from (select list_filter(string_split(line, ' '), lambda x: x <> '') as w from {LINES}) where len(w) > 1)"""
 BATCHES = "(select l_partkey, l_returnflag, l_quantity, year(l_shipdate) * 100 + month(l_shipdate) as batch from lineitem)"
-LARGE = "(select * from orders where o_totalprice > 200000)"
 LABELLED = "(select d.doc_id, d.lang, d.source, l.quality, l.toxic from documents d left join labels l on l.doc_id = d.doc_id)"
 ROUGH = """(select cast(o_orderkey as varchar) as o_orderkey,
   case when o_orderstatus = 'P' then 'n/a' when o_orderpriority = '5-LOW' then null
@@ -48,6 +47,23 @@ INTERVAL_PAIRS = """select c.user_id, c.event_id as click_id, c.ts as click_ts,
   from events c join events v on v.user_id = c.user_id and c.ts >= v.ts and c.ts <= v.ts + interval 1 hour
   where c.event_type = 'click' and v.event_type = 'view'"""
 
+# Lines of the first day arrive again after the watermark has passed it.
+LATE = """with first as (select min(ts::date) as first from events),
+  mark as (select max(ts) - interval 5 minute as mark from events, first where ts::date > first + 1),
+  counted as (select ts, event_type from events, first where ts::date = first or ts::date > first + 1
+    union all select ts, event_type from events, first, mark
+      where ts::date = first and time_bucket(interval 10 minute, ts) + interval 10 minute > mark)"""
+
+# Murmur3 of one 32-bit integer with seed 42, step by step in 64-bit arithmetic.
+MURMUR = """with m1 as (select *, (c_nationkey::bigint * 3432918353) & 4294967295 as k from customer),
+  m2 as (select *, ((((k << 15) | (k >> 17)) & 4294967295)::hugeint * 461845907 % 4294967296)::bigint as k1 from m1),
+  m3 as (select *, xor(42::bigint, k1) as h from m2),
+  m4 as (select *, ((((h << 13) | (h >> 19)) & 4294967295) * 5 + 3864292196) & 4294967295 as h1 from m3),
+  m5 as (select *, xor(h1, 4::bigint) as h2 from m4),
+  m6 as (select *, (xor(h2, h2 >> 16)::hugeint * 2246822507 % 4294967296)::bigint as h3 from m5),
+  m7 as (select *, (xor(h3, h3 >> 13)::hugeint * 3266489909 % 4294967296)::bigint as h4 from m6),
+  m8 as (select *, xor(h4, h4 >> 16) as h5 from m7)"""
+
 ORACLES: dict[str, str] = {
     # words
     "wc_top5": f"select word, count(*) as cnt from {WORDS} group by word order by cnt desc, word limit 5",
@@ -88,14 +104,13 @@ ORACLES: dict[str, str] = {
         / nullif(count(try_cast(o_totalprice as decimal(18,2))), 0), 4) as varchar) as avg_price
       from {ROUGH} group by o_orderstatus""",
     "composite_counts": "select user_id, event_type, count(*) as cnt from events group by all",
-    "join_inner": f"""select c_custkey, o_orderkey, o_totalprice, c_name from {LARGE} o
+    "join_inner": """select c_custkey, o_orderkey, o_totalprice, c_name from orders
       join customer on c_custkey = o_custkey""",
-    "join_left": f"""select c_custkey, c_name, o_orderkey, o_totalprice from customer
-      left join {LARGE} o on o_custkey = c_custkey""",
-    "join_right": f"""select o_custkey as c_custkey, c_name, o_orderkey, o_totalprice
-      from (select * from customer where c_acctbal > 0) c right join {LARGE} o on o_custkey = c_custkey""",
-    "join_semi": f"select c_custkey, c_name from customer where c_custkey in (select o_custkey from {LARGE})",
-    "join_anti": f"select c_custkey, c_name from customer where c_custkey not in (select o_custkey from {LARGE})",
+    "join_left": """select c_custkey, c_name, o_orderkey, o_totalprice from customer
+      left join orders on o_custkey = c_custkey""",
+    "join_right": "select d.doc_id, quality, toxic, lang, source from labels l right join documents d on l.doc_id = d.doc_id",
+    "join_semi": "select doc_id, lang, source from documents where doc_id in (select doc_id from labels)",
+    "join_anti": "select doc_id, lang, source from documents where doc_id not in (select doc_id from labels)",
     "join_static": """select s_suppkey, s_name, s_nationkey, n_nationkey, n_name
       from supplier join nation on n_nationkey = s_nationkey""",
     "interval_pairs": INTERVAL_PAIRS,
@@ -104,6 +119,8 @@ ORACLES: dict[str, str] = {
       from customer where c_acctbal > 0""",
     "mask": """select c_custkey, c_name, c_mktsegment as segment, c_custkey || '_' || c_name as id_name,
       sha256('brook' || c_nationkey) as crypto from customer""",
+    "mask_hash": MURMUR + """ select c_custkey, c_name, c_custkey || '_' || c_name as id_name,
+      cast(case when h5 >= 2147483648 then h5 - 4294967296 else h5 end as integer) as crypto from m8""",
     "dedup_by_key": """select unnest(arg_min(c, c_custkey)) from customer c group by c_nationkey""",
     "dedup_any": "select distinct o_custkey from orders",
     "distinct": "select distinct l_returnflag, l_linestatus from lineitem",
@@ -122,7 +139,8 @@ ORACLES: dict[str, str] = {
     "conform_accepted": f"""select cast(o_orderkey as bigint) as o_orderkey, cast(o_totalprice as double) as o_totalprice,
       o_orderstatus from {ROUGH} where try_cast(o_totalprice as double) is not null""",
     "conform_rejected": f"""select cast(o_orderkey as bigint) as o_orderkey,
-      case when o_totalprice is null then 'o_totalprice: missing' else 'o_totalprice: bad value' end as reasons
+      case when o_totalprice is null then 'o_totalprice: missing' else 'o_totalprice: bad value' end as reasons,
+      o_totalprice as loaded
       from {ROUGH} where try_cast(o_totalprice as double) is null""",
     "profile_customer": profile_of("customer", {"c_custkey": "bigint", "c_acctbal": "double", "c_mktsegment": "string"}),
     "profile_labelled": profile_of(LABELLED, {"doc_id": "bigint", "source": "string", "quality": "int"}),
@@ -134,9 +152,13 @@ ORACLES: dict[str, str] = {
     "range_labels": "select 'No: ' || i as label from range(0, (select max(o_orderkey) + 1 from orders)) r(i)",
     "vector_labels": "select o_orderkey, 'No: ' || o_orderkey as label from orders",
     "map_record": "select o_orderkey as number from orders",
-    "map_partitions": "select c_custkey, c_name, md5(c_name) as digest from customer",
+    "map_partitions": """select c_custkey, c_acctbal, (c_acctbal >= -500)::int + (c_acctbal >= 0)::int
+      + (c_acctbal >= 250)::int + (c_acctbal >= 1000)::int + (c_acctbal >= 5000)::int as bracket from customer""",
+    "task_writer": "select o_orderkey, o_orderstatus from orders",
+    "sample_random": "select true as share_is_near, true as repeats, true as is_part",
     "map_frames": "select c_custkey, least(c_acctbal, 0.0) as debt from customer",
-    "keyed_reduce": "select user_id, max(value) as value from events group by user_id",
+    "keyed_reduce": """select user_id, max(case when event_type <> 'click' then value end) as value
+      from events group by user_id""",
     # views, catalog and file formats
     "sql_view": "select * from part",
     "sql_shared_view": "select * from supplier",
@@ -171,8 +193,8 @@ ORACLES: dict[str, str] = {
       time_bucket(interval 1 hour, ts) + interval 1 hour as window_end, user_id, event_type, count(*) as count,
       c_custkey, c_name, c_mktsegment from events join customer on c_custkey = user_id group by all""",
     "stream_stream": INTERVAL_PAIRS,
-    "keyed_avg": """select event_type as "clientName",
-      round(cast(sum(cast(value as decimal(18,2))) as double) / count(value), 6) as "avgCPUUsage"
+    "keyed_avg": """select event_type as client,
+      round(cast(sum(cast(value as decimal(18,2))) as double) / count(value), 6) as average_value
       from events group by event_type""",
     "topic_frame": """select event_type as key,
       cast(round(cast(sum(cast(value as decimal(18,2))) as double) / count(value), 4) as varchar) as value
@@ -181,6 +203,15 @@ ORACLES: dict[str, str] = {
       / nullif(l_extendedprice, 0) * 100), 4) as usage from lineitem group by l_returnflag""",
     "stream_passthrough": """select event_type as key, cast(value as varchar) as value, 'usage' as topic,
       0 as partition, event_id as "offset" from events""",
+    "late_words": LATE + """ select time_bucket(interval 10 minute, ts) as window_start,
+      time_bucket(interval 10 minute, ts) + interval 10 minute as window_end, event_type as word, count(*) as count
+      from counted group by all""",
+    "late_rows": LATE + """ select (select 2 * count(*) from events, first where ts::date = first)
+      + (select count(*) from events, first where ts::date > first + 1) - (select count(*) from counted) as late""",
+    "stream_every_second": "select o_orderstatus, count(*) as count from orders group by all",
+    "cleaning_job": """select c_custkey, segment, id_name, crypto, unnest(string_split(c_name, '#')) as part from
+      (select distinct c_custkey, c_name, c_mktsegment as segment, c_custkey || '_' || c_name as id_name,
+              sha256('brook' || c_nationkey) as crypto from customer join orders on o_custkey = c_custkey)""",
     "stream_restart": "select o_orderkey, o_orderstatus from orders",
     "stream_csv": windows("1 hour"),
     "stream_lines": f"select word, count(*) as count from {ALL_WORDS} group by word",

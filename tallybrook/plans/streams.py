@@ -26,34 +26,35 @@ def windowed_word_count(lines: DataFrame, width: str = "5 minutes", lateness: st
 def hourly_actions(
     actions: DataFrame,
     profiles: DataFrame,
-    user: str = "userId",
-    action: str = "event",
-    time: str = "eventTime",
-    profile_key: str = "id",
+    user: str,
+    action: str,
+    time: str,
+    profile_key: str,
     lateness: str = "30 minutes",
     width: str = "1 hour",
+    broadcast: bool = False,
 ) -> DataFrame:
     """Actions per hour, user and kind, with the user's profile."""
     counts = windowed_count(actions, time, [user, action], width, lateness)
-    return with_attributes(counts, profiles, user, profile_key)
+    return with_attributes(counts, profiles, user, profile_key, broadcast)
 
 
 def actions_after_posting(
     actions: DataFrame,
     postings: DataFrame,
-    action_key: str = "videoId",
-    posting_key: str = "id",
-    action_time: str = "eventTime",
-    posting_time: str = "postTime",
+    action_key: str,
+    posting_key: str,
+    action_time: str,
+    posting_time: str,
     seconds: int = 3600,
     action_lateness: str = "1 hour",
     posting_lateness: str = "5 minutes",
-    hot_actions: DataFrame | None = None,
-    hot_postings: DataFrame | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Actions within an hour of the posting that they refer to. Streams join in append mode only.
 
-    A posting may draw a large share of all actions: see `stored_hot_keys`.
+    A posting may draw a large share of all actions, also long after the start: ``salts`` spreads
+    the actions of each posting over so many parts of the state.
     """
     return range_join(
         actions.withWatermark(action_time, action_lateness),
@@ -63,8 +64,7 @@ def actions_after_posting(
         action_time,
         posting_time,
         seconds,
-        hot_actions,
-        hot_postings,
+        salts,
     )
 
 
@@ -82,7 +82,7 @@ def start_client_averages(
     table that stands for the topic.
     """
     averages = keyed_average(messages, as_type=as_type)
-    table = averages.withColumnsRenamed({"key": "clientName", "average": "avgCPUUsage"})
+    table = averages.withColumnsRenamed({"key": "client", "average": "average_value"})
     first, result = start_table(table, f"{folder}/clients", "complete", trigger=trigger)
     out = as_messages(averages, "key", "average")
     if servers and topic:

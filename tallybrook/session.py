@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # State on local disk with a bounded share of an executor's memory, uploaded as changes; the
 # join format keeps both sides of a stream join in one store per partition.
@@ -73,24 +74,9 @@ def work_folder(spark: SparkSession, label: str) -> str:
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_root is None:
             _local_root = tempfile.TemporaryDirectory(prefix="tallybrook-")
         root = _local_root.name
     return f"{root.rstrip('/')}/tallybrook/{label}-{uuid.uuid4().hex}"
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate for a batch frame, in bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def partitions_for(df: DataFrame, bytes_each: int = 128 * 1024 * 1024) -> int:
-    """How many partitions of a given size a batch frame fills, by the optimizer's estimate."""
-    return max(1, -(-planned_bytes(df) // bytes_each))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when switched off."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybrook.session import partitions_for
-
 CSV_MODES = {"permissive": "PERMISSIVE", "dropmalformed": "DROPMALFORMED", "failfast": "FAILFAST"}
 CORRUPT = "_corrupt_record"
 
@@ -25,14 +23,12 @@ def read_lines(
 ) -> DataFrame:
     """Text lines in a column ``value``. A line end may be named; "\\r" also ends lines otherwise.
 
-    With ``min_partitions`` an input too small to be split into so many parts is dealt out;
-    a larger one has more splits by itself and is not shuffled.
+    With ``min_partitions`` the lines are dealt out to so many partitions, also those of a
+    compressed file that the scan cannot split. Without it nothing is shuffled.
     """
     options = {"lineSep": line_end} if line_end else {}
     lines = spark.read.options(**options).text(path)
-    if min_partitions and partitions_for(lines) < min_partitions:
-        return lines.repartition(min_partitions)
-    return lines
+    return lines.repartition(min_partitions) if min_partitions else lines
 
 
 def read_csv(

@@ -12,8 +12,8 @@ from tallybrook.functions.values import field, lenient, usage_percent
 def timed_words(lines: DataFrame, value: str = "value", rejects: str | None = "line_rejects") -> DataFrame:
     """Rows (eventTime, word) of lines ``timestamp,word word``; fields after the second are ignored.
 
-    A line without a valid time has no window and goes. Under the name ``rejects`` their
-    number appears in the metrics of each micro-batch.
+    A line without a valid time has no window and goes, and one without a second field has no
+    word. Under the name ``rejects`` their numbers appear in the metrics of each micro-batch.
     """
     parsed = lines.select(
         lenient(field(F.col(value), 1), "timestamp").alias("eventTime"),
@@ -24,6 +24,7 @@ def timed_words(lines: DataFrame, value: str = "value", rejects: str | None = "l
             rejects,
             F.count(F.lit(1)).alias("lines"),
             F.count_if(F.col("eventTime").isNull()).alias("bad_time"),
+            F.count_if(F.col("eventTime").isNotNull() & F.col("words").isNull()).alias("no_words"),
         )
     return parsed.where(F.col("eventTime").isNotNull()).select("eventTime", F.explode("words").alias("word"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -15,7 +18,8 @@ from tallybrook.session import STREAM_STATE, session_settings
 
 ONCE = {"availableNow": True}
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
-KEPT_RESULTS = 3
+BATCH = "_batch"
+SECONDS_EACH = 0.5
 
 
 @contextmanager
@@ -41,11 +45,13 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
 
 @dataclass
 class ResultTable:
-    """A stream's result as Parquet files, one folder per micro-batch.
+    """A stream's result as Parquet folders and a manifest that says which of them count.
 
-    A batch that runs again replaces its folder, so the table holds each batch once. Folders
-    are tidied up while the stream runs: in complete mode all but the last few go, in update
-    mode finished batches are merged from time to time. Read a frame soon after it was made.
+    Each micro-batch writes a folder of its own and then replaces the manifest in one step, so the
+    table changes batch by batch and a batch that runs again takes the place of its first
+    try. In update mode ``merge_every`` folders of one level are merged into one of the next, so a row
+    is rewritten once per level and few folders are read. Folders no longer in use stay for
+    ``keep_seconds``, for frames read before. Append mode is Spark's own file sink.
     """
 
     spark: SparkSession
@@ -53,72 +59,97 @@ class ResultTable:
     schema: T.StructType
     mode: str
     keys: list[str] = field(default_factory=list)
-    merge_every: int = 50
+    merge_every: int = 16
+    keep_seconds: float = 3600.0
+
+    def _place(self, name: str = ""):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def manifest(self) -> dict:
+        """``parts`` with level, folder and last batch, and ``retired`` folders with the time they went."""
+        place, system = self._place("manifest.json")
+        if system.exists(place):
+            source = system.open(place)
+            try:
+                return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+            finally:
+                source.close()
+        folder, _ = self._place()
+        if system.exists(folder) and any(f.getPath().getName().startswith("part-of-") for f in system.listStatus(folder)):
+            raise ValueError(f"{self.path} holds results but no manifest")
+        return {"parts": [], "retired": []}
+
+    def _store(self, manifest: dict) -> None:
+        new, system = self._place(f"manifest-{uuid.uuid4().hex}")
+        out = system.create(new, True)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        jvm, old = self.spark._jvm, self._place("manifest.json")[0]
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(system.makeQualified(new), system.makeQualified(old), options)
 
     def batches(self) -> list[int]:
-        """Numbers of the batches written in full."""
-        return self._written("batch_id")
+        """The last batch of each folder in use."""
+        return sorted(part["batch"] for part in self.manifest()["parts"])
 
-    def _written(self, kind: str) -> list[int]:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}=*/_SUCCESS")
-        found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place) or []
-        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
-
-    def _forget(self, kind: str, numbers: list[int]) -> None:
-        for number in numbers:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}={number}")
-            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+    def _write_part(self, rows: DataFrame, level: int, batch: int) -> dict:
+        name = f"part-of-{batch}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{name}")
+        return {"level": level, "folder": name, "batch": batch}
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Store one micro-batch; called by Spark once per batch or again after a failure."""
-        finished = [b for b in self.batches() if b < batch_id]
-        if self.mode == "update" and len(finished) >= self.merge_every:
-            self._merge(finished)
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        if self.mode == "complete":
-            self._forget("batch_id", [b for b in finished if b <= batch_id - KEPT_RESULTS])
-
-    def _merge(self, finished: list[int]) -> None:
-        """Put the last state of each key over the finished batches into one folder.
-
-        The merged folder is complete before anything goes, and only newer batches are
-        merged into it, so a merge cut short is finished by the next.
-        """
-        former, last = self._written("merged_to"), finished[-1]
-        if not former or last > former[-1]:
-            self._latest(finished).write.mode("overwrite").parquet(f"{self.path}/merged_to={last}")
-        self._forget("batch_id", finished)
-        self._forget("merged_to", [number for number in former if number < last])
-
-    def _latest(self, batches: list[int]) -> DataFrame:
-        """The last state of each key over the merged folder and the given batches."""
-        stored = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        merged = self._written("merged_to")[-1:]
-        newer = [b for b in batches if not merged or b > merged[0]]
-        parts = [
-            self.spark.read.schema(self.schema)
-            .parquet(f"{self.path}/merged_to={number}")
-            .withColumn("batch_id", F.lit(number).cast("bigint"))
-            for number in merged
-        ]
-        if newer:
-            folders = [f"{self.path}/batch_id={b}" for b in newer]
-            parts.append(self.spark.read.schema(stored).option("basePath", self.path).parquet(*folders))
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        if len(merged) + len(newer) == 1 or self.mode == "append":
-            return rows.select(*self.schema.names)
-        values = [F.max_by(c, "batch_id").alias(c) for c in self.schema.names if c not in self.keys]
-        return rows.groupBy(*self.keys).agg(*values).select(*self.schema.names)
+        manifest = self.manifest()
+        before = manifest["parts"]
+        if any(part["batch"] >= batch_id and part["level"] for part in before):
+            return  # already merged with later ones
+        numbered = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        parts = [part for part in before if part["batch"] != batch_id and self.mode != "complete"]
+        parts.append(self._write_part(numbered, 0, batch_id))
+        level = 0
+        while self.mode == "update" and sum(part["level"] == level for part in parts) >= self.merge_every:
+            merged = [part for part in parts if part["level"] == level]
+            rows = self._latest(self._rows(merged), with_batch=True)
+            last = max(part["batch"] for part in merged)
+            parts = [part for part in parts if part["level"] != level] + [self._write_part(rows, level + 1, last)]
+            level += 1
+        used, now = {part["folder"] for part in parts}, time.time()
+        retired = [[part["folder"], now] for part in before if part["folder"] not in used]
+        stay = [old for old in manifest["retired"] if now - old[1] < self.keep_seconds]
+        gone = [old[0] for old in manifest["retired"] if now - old[1] >= self.keep_seconds]
+        self._store({"parts": parts, "retired": stay + retired})
+        for name in gone:
+            place, system = self._place(name)
+            system.delete(place, True)
+
+    def _rows(self, parts: list[dict]) -> DataFrame:
+        stored = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
+        return self.spark.read.schema(stored).parquet(*[f"{self.path}/{part['folder']}" for part in parts])
+
+    def _latest(self, rows: DataFrame, with_batch: bool = False) -> DataFrame:
+        """The last state of each key."""
+        values = [c for c in self.schema.names if c not in self.keys]
+        last = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values, BATCH), BATCH).alias("_last"))
+        columns = [F.col(c) if c in self.keys else F.col(f"_last.{c}").alias(c) for c in self.schema.names]
+        return last.select(*columns, *([F.col(f"_last.{BATCH}").alias(BATCH)] if with_batch else []))
 
     def read(self) -> DataFrame:
         """The result so far: the last batch in complete mode, the last state of each key in
         update mode, all rows in append mode."""
-        batches = self.batches()
-        if not batches and not self._written("merged_to"):
+        if self.mode == "append":
+            place, system = self._place("_spark_metadata")
+            if not system.exists(place):
+                return self.spark.createDataFrame([], self.schema)
+            return self.spark.read.schema(self.schema).parquet(self.path)
+        parts = self.manifest()["parts"]
+        if not parts:
             return self.spark.createDataFrame([], self.schema)
-        if self.mode == "complete":
-            return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batches[-1]}")
-        return self._latest(batches)
+        rows = self._rows(parts)
+        return rows.drop(BATCH) if self.mode == "complete" else self._latest(rows)
 
 
 def start_table(
@@ -129,7 +160,7 @@ def start_table(
     trigger: dict | None = None,
     checkpoint: str | None = None,
     name: str | None = None,
-    merge_every: int = 50,
+    merge_every: int = 16,
 ) -> tuple[StreamingQuery, ResultTable]:
     """Write a stream to a `ResultTable` in a folder, with its progress kept beside it.
 
@@ -143,6 +174,8 @@ def start_table(
     writer = writer.option("checkpointLocation", checkpoint or f"{folder}/checkpoint")
     if name:
         writer = writer.queryName(name)
+    if mode == "append":
+        return writer.format("parquet").option("path", table.path).start(), table
     return writer.foreachBatch(table.write).start(), table
 
 
@@ -155,11 +188,13 @@ def start_files(
 
 
 def wait_for_all(*streams: StreamingQuery) -> None:
-    """Wait until all streams end. They run side by side; when one fails the others are
-    stopped and its error is raised."""
+    """Wait until all streams end. They run side by side; when any fails, whichever its place,
+    the others are stopped and its error is raised."""
+    waiting = list(streams)
     try:
-        for stream in streams:
-            stream.awaitTermination()
+        while waiting:
+            # Returns at once for a stream that has ended, and raises the error it ended with.
+            waiting = [stream for stream in waiting if not stream.awaitTermination(SECONDS_EACH)]
     except Exception:
         for stream in streams:
             if stream.isActive:
@@ -176,10 +211,13 @@ def run_to_table(
     return table.read()
 
 
-def rows_dropped_late(stream: StreamingQuery) -> int:
-    """Rows that came after their window was closed, over the batches Spark remembers."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in stream.recentProgress
-        for operator in progress["stateOperators"]
-    )
+def rows_dropped_late(rows: DataFrame, result: DataFrame, time: str, name: str = "count") -> DataFrame:
+    """How many rows came after their window was closed, as one row ``late``.
+
+    ``rows`` are all rows that the stream was given, as a batch, and ``result`` its windowed counts in
+    update mode. A row is counted once or dropped, so what is missing in the counts was late.
+    Rows without a time have no window and are not late.
+    """
+    given = rows.agg(F.count(time).alias("given"))
+    counted = result.agg(F.coalesce(F.sum(name), F.lit(0)).alias("counted"))
+    return given.join(counted).select((F.col("given") - F.col("counted")).alias("late"))
