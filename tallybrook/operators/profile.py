@@ -18,23 +18,29 @@ def _as_text(f: T.StructField) -> Column:
     return F.col(f.name).cast("string")
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """Exact number of distinct values per column, as rows (position, distinct_count).
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Number of distinct values of the named columns, as rows (position, distinct_count).
 
-    All columns are laid under each other and made distinct in one shuffle by value, so a
-    frequent value costs one row per task.
+    Values stand for themselves as 128 bits of hash and their length, so a long text moves no
+    more than a number. All columns are laid under each other and made distinct in one shuffle,
+    to which a frequent value gives one row per task.
     """
-    cells = [F.struct(F.lit(i).alias("position"), _as_text(f).alias("cell")) for i, f in enumerate(df.schema.fields)]
+    cells = []
+    for i, f in enumerate(df.schema.fields):
+        if f.name in columns:
+            text = _as_text(f)
+            mark = F.struct(F.xxhash64(F.lit(0), text), F.xxhash64(F.lit(1), text), F.length(text))
+            cells.append(F.struct(F.lit(i).alias("position"), F.when(text.isNotNull(), mark).alias("cell")))
     values = df.select(F.inline(F.array(*cells))).where(F.col("cell").isNotNull()).distinct()
-    return values.groupBy("position").agg(F.count(F.lit(1)).alias("distinct_count"))
+    return values.groupBy("position").agg(F.count(F.lit(1)).alias("exact_count"))
 
 
-def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
+def profile(df: DataFrame, exact_distinct: list[str] | None = None) -> DataFrame:
     """A row per column: type, nullability, rows, nulls, distinct values, min, max, mean, stddev.
 
-    All but exact distinct counts come from one scan that moves a row per task. Those move
-    every distinct value of every column; ``approximate_distinct`` takes a sketch of fixed
-    size per column instead, in the same scan.
+    Distinct values are estimated by a sketch of fixed size per column; all that comes from one
+    scan that moves a row per task. The columns named in ``exact_distinct`` are counted exactly, which
+    moves each of their distinct values.
     """
     entries, aggregates = [], [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):
@@ -47,8 +53,7 @@ def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
         if numeric:
             number = F.col(f.name).cast("double")
             aggregates += [F.avg(number).alias(f"mean{i}"), F.stddev(number).alias(f"dev{i}")]
-        if approximate_distinct:
-            aggregates.append(F.approx_count_distinct(_as_text(f)).alias(f"d{i}"))
+        aggregates.append(F.approx_count_distinct(_as_text(f)).alias(f"d{i}"))
         entries.append(
             F.struct(
                 F.lit(i).alias("position"),
@@ -57,7 +62,7 @@ def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
                 F.lit(f.nullable).alias("nullable"),
                 F.col("rows").alias("row_count"),
                 (F.col("rows") - F.col(f"n{i}")).alias("null_count"),
-                (F.col(f"d{i}") if approximate_distinct else none.cast("bigint")).alias("distinct_count"),
+                F.col(f"d{i}").alias("distinct_count"),
                 (F.col(f"lo{i}") if ordered else none.cast("string")).alias("min_value"),
                 (F.col(f"hi{i}") if ordered else none.cast("string")).alias("max_value"),
                 (F.col(f"mean{i}") if numeric else none.cast("double")).alias("mean"),
@@ -66,8 +71,10 @@ def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
         )
     table = df.agg(*aggregates).select(F.inline(F.array(*entries)))
     names = [c for c in table.columns if c != "position"]
-    if not approximate_distinct:
+    if exact_distinct:
         # One row per column of the input on both sides.
-        counts = F.broadcast(distinct_counts(df))
-        table = table.drop("distinct_count").join(counts, "position", "left").fillna(0, ["distinct_count"])
+        table = table.join(F.broadcast(distinct_counts(df, exact_distinct)), "position", "left")
+        exact = F.coalesce("exact_count", F.lit(0))
+        named = F.when(F.col("column_name").isin(exact_distinct), exact).otherwise(F.col("distinct_count"))
+        table = table.withColumn("distinct_count", named)
     return table.select(*names)

@@ -392,10 +392,19 @@ def profile_labelled(spark, sf_dir):
 
 
 def rounded_profile(df: DataFrame) -> DataFrame:
-    table = profile(df)
+    table = profile(df, exact_distinct=df.columns)
     return table.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
+@query
+def preview_and_profile(spark, sf_dir):
+    """The first customers by key, each beside the profile of the column that orders them."""
+    people = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    first = ordering.first_rows(people, 5, ["c_custkey"])
+    described = rounded_profile(people).where(F.col("column_name") == "c_acctbal")
+    return first.join(described.select("row_count", "null_count", "distinct_count", "mean", "stddev"))
+
+
 @query
 def first_rows(spark, sf_dir):
     return ordering.first_rows(load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 20, ["o_orderkey"])

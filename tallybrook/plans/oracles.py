@@ -144,6 +144,9 @@ ORACLES: dict[str, str] = {
       from {ROUGH} where try_cast(o_totalprice as double) is null""",
     "profile_customer": profile_of("customer", {"c_custkey": "bigint", "c_acctbal": "double", "c_mktsegment": "string"}),
     "profile_labelled": profile_of(LABELLED, {"doc_id": "bigint", "source": "string", "quality": "int"}),
+    "preview_and_profile": """select * from (select c_custkey, c_acctbal, c_mktsegment from customer order by c_custkey limit 5),
+      (select count(*) as row_count, count(*) - count(c_acctbal) as null_count, count(distinct c_acctbal) as distinct_count,
+       round(avg(c_acctbal), 4) as mean, round(stddev_samp(c_acctbal), 4) as stddev from customer)""",
     "first_rows": "select o_orderkey, o_totalprice from orders order by o_orderkey limit 20",
     "sort_mixed": """select o_orderkey, o_orderpriority, o_totalprice from orders
       order by o_totalprice desc, o_orderpriority""",

@@ -242,12 +242,12 @@ def test_partitions(spark):
     assert shaping.balanced(df, "id").count() == 100
 
 
-@pytest.mark.parametrize("approximate", [False, True])
-def test_profile(spark, approximate):
+@pytest.mark.parametrize("exact", [None, ["i", "s", "x", "l"], ["s"]])
+def test_profile(spark, exact):
     df = spark.createDataFrame(
         [(1, "a", 0.0, [1]), (2, None, -0.0, [1]), (None, "a", 2.0, [2])], "i int, s string, x double, l array<int>"
     )
-    table = {r["column_name"]: r for r in profile(df, approximate).collect()}
+    table = {r["column_name"]: r for r in profile(df, exact).collect()}
     assert [tuple(table["i"])[3:8] for _ in (0,)] == [(3, 1, 2, "1", "2")]
     assert (table["i"]["mean"], table["s"]["mean"]) == (1.5, None)
     assert (table["s"]["null_count"], table["s"]["distinct_count"], table["s"]["data_type"]) == (1, 1, "string")
