@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,9 +63,12 @@ def table_stream(
     Files are taken in order of arrival. Where they do not follow event time, a pace makes
     rows late that one batch would count; so watermarked jobs pace ordered input only.
     """
-    schema = spark.read.parquet(path).schema
-    # The path is given as a pattern, since a stream takes no plain path of a single file.
-    pattern = f"{path[:-1]}[{path[-1]}]"
+    # The path is given as a pattern, since a stream takes no plain path of a single file; what
+    # would be a pattern in the path itself stands for itself.
+    marked = re.sub(r"([\[\]{}*?\\])", r"\\\1", path.rstrip("/"))
+    head, last = re.fullmatch(r"(.*?)(\\?.)", marked, re.DOTALL).groups()
+    pattern = f"{head}[{last}]"
+    schema = spark.read.parquet(pattern).schema
     return spark.readStream.schema(schema).options(**_pace(max_files, max_bytes)).parquet(pattern)
 
 
