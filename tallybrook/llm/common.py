@@ -25,7 +25,7 @@ LATIN = r"A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
 # Text handled at once inside a task.
 SLICE_BYTES = 4 << 20
 # Distinct words whose token ids a task remembers.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 500_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

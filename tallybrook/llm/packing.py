@@ -16,7 +16,7 @@ from tallybrook.llm.common import WordTokenizer, binary_column, slices, spread,
 WINDOW = 4096
 END_ID = 2
 # Text tokenized at once; the more, the fewer words are looked up twice.
-TOKENIZED_BYTES = 8 << 20
+TOKENIZED_BYTES = 6 << 20
 # Rows of three numbers that a broadcast may have; beyond it the pieces are shuffled by length and task.
 BROADCAST_STARTS = 1_000_000
 

@@ -16,7 +16,7 @@ from tallybrook.session import work_folder
 WINDOW = 2048
 END_ID = 2
 # Tokens that a task gathers before it packs and writes them.
-GROUP_TOKENS = 4 << 20
+GROUP_TOKENS = 1 << 20
 
 ROWS = (
     "sequence_id long, n_tokens int, ids binary, positions binary, cu_seqlens array<int>,"
@@ -146,7 +146,7 @@ def token_matrix(
         held: list[tuple[np.ndarray, np.ndarray, list]] = []
         size = 0
         for batch in batches:
-            for part, text in slices(batch, batch.column("text"), 8 << 20):
+            for part, text in slices(batch, batch.column("text")):
                 ids, tokens = with_end(*tokenizer.encode(text), end_id)
                 held.append((ids, tokens, part.column("doc_id").to_pylist()))
                 size += len(ids)
