@@ -21,8 +21,8 @@ BANDS, ROWS = 40, 5
 BASE, RATE, LARGEST = 1.1, 8.0, 255
 # A pair is dropped only where its registers are exp(-this) times less likely at the threshold than at best.
 DOUBT = 12.5
-# Members of a bucket that one row compares with as many others.
-BLOCK = 256
+# Members of a hub, and bytes of their texts, that one row compares with as many others.
+BLOCK, BLOCK_BYTES = 256, 1 << 20
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,6 +151,11 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id long, node long, n long, registers binary")
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """Joined by shuffling at every size: what grows with the documents is never broadcast."""
+    return df.hint("merge")
+
+
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
@@ -169,12 +174,12 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
         classes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("registers").alias(f"{c}_registers"))
         for c in "xy"
     )
-    return pairs.join(x, "x").join(y, "y").select("x", "y", "x_n", "y_n", "x_registers", "y_registers").mapInArrow(
+    return pairs.join(shuffled(x), "x").join(shuffled(y), "y").select("x", "y", "x_n", "y_n", "x_registers", "y_registers").mapInArrow(
         select, "x long, y long"
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Of (x, y) those whose full shingle sets are similar: 100 * intersection >= percent * union."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,17 +192,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 both, pair = both[order], pair[order]
                 twice = (both[1:] == both[:-1]) & (pair[1:] == pair[:-1])
                 common = np.bincount(pair[1:][twice], minlength=part.num_rows)
-                similar = (100 * common >= percent * (a_n + b_n - common)) & (common > 0)
-                yield part.select(["x", "y"]).filter(pa.array(similar))
-
-    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    texts = docs.select(same_words(F.col("text")).alias("node"), F.col("text").cast("string").alias("text"))
-    texts = stored(texts.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "dup-texts")
-    met = pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("x_text")), "x")
-    met = met.join(texts.select(F.col("node").alias("y"), F.col("text").alias("y_text")), "y")
+                yield part.select(["x", "y"]).filter(pa.array(enough(common, a_n, b_n, percent)))
+
+    met = pairs.join(shuffled(texts.select(F.col("node").alias("x"), F.col("text").alias("x_text"))), "x")
+    met = met.join(shuffled(texts.select(F.col("node").alias("y"), F.col("text").alias("y_text"))), "y")
     return met.select("x", "y", "x_text", "y_text").mapInArrow(confirm, "x long, y long")
 
 
+def enough(common: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    return (100 * common >= percent * (left + right - common)) & (common > 0)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of (x, y): the smallest node that each can reach, itself included.
 
@@ -223,49 +228,147 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("x").alias("node"), F.col("y").alias("root")).union(roots)
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (x, y) of one bucket that are not in one component yet.
+MEMBER = "node long, root long, n long, registers binary, text string"
+
 
-    A bucket's members are its hub's component, the core, and the rest. Blocks of the rest meet
-    blocks of both; the core is not compared with itself. Blocks are dealt by hash, so a bucket
-    of any size is spread over many rows of bounded size.
+def block_pairs(members: DataFrame) -> DataFrame:
+    """(hub, left, right, same): blocks of each hub's members, those of the rest with all others.
+
+    ``members`` has a hub's neighbours and itself, marked as in its component or in the ``rest``; those
+    in its component need not be compared with each other. Blocks are dealt by hash and bounded
+    in members and text, so a hub of any size is spread over many rows.
     """
-    named = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    hubs = labels.select(F.col("node").alias("hub"), F.col("root").alias("core"))
-    named = named.join(hubs, "hub", "left").withColumn("core", F.coalesce("core", "hub"))
-    named = named.select("key", "node", "root", (F.col("root") != F.col("core")).alias("rest"))
-    sizes = named.groupBy("key").agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_core"))
-    # Two members have been compared as hub and member.
-    sizes = sizes.where("n_rest > 0 AND n_rest + n_core > 2")
-    named = named.join(sizes, "key").join(classes.select("node", "n", "registers"), "node")
-    side = F.when(F.col("rest"), F.col("n_rest")).otherwise(F.col("n_core"))
-    number = F.pmod(F.xxhash64("node"), F.ceil(side / BLOCK))
-    blocks = named.groupBy("key", "rest", number.alias("block")).agg(
-        F.collect_list(F.struct("node", "root", "n", "registers")).alias("of")
+    volume = F.sum(F.octet_length("text"))
+    sizes = members.groupBy("hub", "rest").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(volume / BLOCK_BYTES), F.lit(1)).alias("blocks")
     )
-    left = blocks.where("rest").select("key", "block", F.col("of").alias("left"))
-    right = blocks.select("key", F.col("rest").alias("r_rest"), F.col("block").alias("r_block"), F.col("of").alias("right"))
-    met = left.join(right, "key").where("NOT r_rest OR r_block >= block").select("left", "right")
+    numbered = members.join(sizes, ["hub", "rest"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    fields = [x.split()[0] for x in MEMBER.split(", ")]
+    blocks = numbered.groupBy("hub", "rest", "block").agg(F.collect_list(F.struct(*fields)).alias("of"))
+    blocks = stored(blocks, "blocks")
+    left = blocks.where("rest").select("hub", "block", F.col("of").alias("left"))
+    right = blocks.select("hub", F.col("rest").alias("r_rest"), F.col("block").alias("r_block"), F.col("of").alias("right"))
+    met = left.join(right, "hub").where("NOT r_rest OR r_block >= block")
+    return met.select("hub", "left", "right", F.expr("r_rest AND r_block = block").alias("same"))
+
+
+def likely_cross(left: pa.Scalar, right: pa.Scalar, same: bool, percent: int) -> tuple:
+    """Both blocks' columns, and the places of the pairs in different components that may be similar."""
+    sides = [
+        {c: x.values.field(c) for c in ("node", "root", "n", "registers", "text")} for x in (left, right)
+    ]
+    for side in sides:
+        for c in ("node", "root", "n"):
+            side[c] = side[c].to_numpy(zero_copy_only=False)
+        side["registers"] = matrix(side["registers"], BANDS * ROWS)
+    one, other = sides
+    i, j = np.nonzero(one["root"][:, None] != other["root"][None, :])
+    if same:
+        i, j = i[i < j], j[i < j]
+    kept = []
+    for at in range(0, len(i), 1 << 14):
+        p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+        ok = likely_similar(one["registers"][p], other["registers"][q], one["n"][p], other["n"][q], percent)
+        kept.append(np.stack([p[ok], q[ok]]))
+    found = np.concatenate(kept, axis=1) if kept else np.zeros((2, 0), np.int64)
+    return one, other, found[0], found[1]
+
+
+def undecided(members: DataFrame, percent: int) -> DataFrame:
+    """(hub, node) of the members that may be similar to one in another component."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hubs, nodes = [], []
+            for r in range(batch.num_rows):
+                hub, left, right, same = (batch.column(c)[r] for c in ("hub", "left", "right", "same"))
+                one, other, i, j = likely_cross(left, right, same.as_py(), percent)
+                found = np.unique(np.concatenate([one["node"][i], other["node"][j]]))
+                nodes.append(found)
+                hubs.append(np.full(len(found), hub.as_py()))
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hubs, nodes)], names=["hub", "node"])
+
+    without = members.withColumn("text", F.lit(None).cast("string"))
+    return block_pairs(without).mapInArrow(mark, "hub long, node long").distinct()
+
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def links_across(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """(x, y): similar members of different components, as many as it takes to join all that are linked.
+
+    Full sets are compared inside the task that holds both blocks; pairs that others have joined
+    already are left out, and pairs that are not similar are never written.
+    """
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs, ys = [], []
-            for one, other in zip(batch.column("left"), batch.column("right"), strict=True):
-                (a, a_root, a_n, a_reg), (b, b_root, b_n, b_reg) = (
-                    (*(x.values.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n")),
-                     matrix(x.values.field("registers"), BANDS * ROWS))
-                    for x in (one, other)
-                )
-                i, j = np.nonzero(a_root[:, None] != b_root[None, :])
-                for at in range(0, len(i), 1 << 14):
-                    p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-                    ok = likely_similar(a_reg[p], b_reg[q], a_n[p], b_n[q], percent)
-                    xs.append(np.maximum(a[p[ok]], b[q[ok]]))
-                    ys.append(np.minimum(a[p[ok]], b[q[ok]]))
-            if xs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(xs)), pa.array(np.concatenate(ys))], names=["x", "y"])
-
-    return met.mapInArrow(compare, "x long, y long").distinct()
+            for r in range(batch.num_rows):
+                left, right, same = (batch.column(c)[r] for c in ("left", "right", "same"))
+                one, other, i, j = likely_cross(left, right, same.as_py(), percent)
+                if not len(i):
+                    continue
+                joined: dict[int, int] = {}
+
+                def root(x: int) -> int:
+                    while x in joined:
+                        x = joined[x]
+                    return x
+
+                sets = [sets_of(x["text"], size) for x in (one, other)]
+                xs, ys = [], []
+                for p, q in zip(i.tolist(), j.tolist(), strict=True):
+                    a, b = root(int(one["root"][p])), root(int(other["root"][q]))
+                    if a != b:
+                        s, t = sets[0][p], sets[1][q]
+                        common = len(np.intersect1d(s, t, assume_unique=True))
+                        if enough(np.int64(common), len(s), len(t), percent):
+                            joined[max(a, b)] = min(a, b)
+                            xs.append(int(one["node"][p]))
+                            ys.append(int(other["node"][q]))
+                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], names=["x", "y"])
+
+    return block_pairs(members).mapInArrow(link, "x long, y long")
+
+
+def sets_of(text: pa.Array, size: int) -> list[np.ndarray]:
+    hashes, counts = shingle_hashes(text, size)
+    return np.split(hashes, np.cumsum(counts)[:-1]) if len(counts) else []
+
+
+def second_links(tried: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between documents that met at one hub but are in different components so far.
+
+    Whoever met in a bucket met at the same hub. Hubs whose members are all in one component are
+    done, and so are those with one member, which has been compared with the hub. Members that
+    no register allows to be similar to another component are set aside before any text moves.
+    """
+    met = tried.select(F.col("y").alias("hub"), F.col("x").alias("node"))
+    met = met.union(met.select("hub", F.col("hub").alias("node")).distinct())
+    named = met.join(labels, "node", "left").select("hub", "node", F.coalesce("root", "node").alias("root"))
+    hubs = labels.select(F.col("node").alias("hub"), F.col("root").alias("core"))
+    named = named.join(hubs, "hub", "left").withColumn("rest", F.col("root") != F.coalesce("core", "hub"))
+    named = stored(named.select("hub", "node", "root", "rest"), "met")
+    open_ = named.groupBy("hub").agg(F.count("*").alias("all"), F.count_if("rest").alias("others"))
+    named = named.join(open_.where("others > 0 AND all > 2").select("hub"), "hub", "left_semi")
+    members = stored(named.join(shuffled(classes), "node"), "members")
+    marked = undecided(members, percent)
+    return links_across(stored(members.join(shuffled(marked), ["hub", "node"]).join(shuffled(texts), "node"), "undecided"), size, percent)
+
+
+def class_texts(docs: DataFrame, rows: DataFrame, tried: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``tried``, from one document of each.
+
+    Documents are found by node and id together, so thousands of copies of a text do not meet
+    in one task.
+    """
+    nodes = tried.select(F.col("x").alias("node")).union(tried.select("y")).distinct()
+    ones = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("one")).join(nodes, "node", "left_semi")
+    ones = ones.withColumnRenamed("node", "of")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").select(
+        "id", same_words(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")
+    )
+    found = texts.join(shuffled(ones), (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("one")))
+    return found.groupBy("node").agg(F.min("text").alias("text"))
 
 
 def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -273,7 +376,7 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, percent: int =
 
     Texts with the same words in order are one node, sketched once per document and compared
     once. Per band, nodes with equal registers meet at the smallest of them, the hub, so a
-    bucket of any size gives a pair per member; pairs of a bucket that remain in different
+    bucket of any size gives a pair per member; those that met at a hub and remain in different
     components are compared afterwards, so no link found by a band is lost. All tables in
     between are written to the shared folder.
     """
@@ -283,12 +386,13 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, percent: int =
     cut = [F.xxhash64(F.lit(k), F.substring("registers", k * ROWS + 1, ROWS)) for k in range(BANDS)]
     bands = classes.select("node", F.explode(F.array(*cut)).alias("key"))
     hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last")
-    members = stored(bands.join(hubs.select("key", "hub"), "key"), "bands")
-    tried = stored(members.where("node != hub").select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct(), "tried")
-    first = stored(confirmed(stored(likely_pairs(tried, classes, percent), "likely"), docs, size, percent), "links")
+    met = bands.join(shuffled(hubs.select("key", "hub")), "key").where("node != hub")
+    tried = stored(met.select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct(), "tried")
+    texts = stored(class_texts(docs, rows, tried), "dup-texts")
+    likely = stored(likely_pairs(tried, classes, percent), "likely")
+    first = stored(confirmed(likely, texts, size, percent), "links")
     labels = stored(components(first), "labels")
-    crossed = cross_pairs(members, labels, classes, percent).join(tried, ["x", "y"], "left_anti")
-    second = stored(confirmed(stored(crossed, "crossed"), docs, size, percent), "links")
+    second = stored(second_links(tried, labels, classes, texts, size, percent), "links")
     if not second.isEmpty():
         labels = stored(components(first.union(second)), "labels")
     return rows.select("doc_id", "node", "n"), labels
