@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import coded_words, rows_held, slices, stored, words_of
+from tallybrook.llm.common import SPACES, coded_words, rows_held, slices, stored, words_of
 from tallybrook.llm.near_dups import same_words
 
 THRESHOLD = 0.3
@@ -42,6 +42,8 @@ STANDS_FOR = {
 STAND_IN, IDLE_STAND_IN, SIGN, SHORTENED = 0.5, 6.0, 0.1, 0.2
 # Single characters one after another that make up a spaced word.
 SPACED = 4
+# Lengths of the prefixes that are taken from every letter of a run of spaced characters.
+STARTS = (4, 5, 6)
 
 EDGES = re.compile(r"^(?:[^\w$@!]|_)+|(?:[^\w$@]|_|([$@])\1+)+$")
 
@@ -131,22 +133,44 @@ def ways(char: str, times: int) -> list[tuple[str, float]]:
     return [("", SIGN)]
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a lower-cased word: Viterbi's search over the last two letters."""
-    states = {(EDGE, EDGE): (0.0, "")}
+def restore(word: str, model: np.ndarray | list, spaced: bool = False) -> str:
+    """The likeliest letters behind a lower-cased word: Viterbi's search over the last two letters.
+
+    With ``spaced`` the characters are those of several words; a space is put wherever it is
+    likelier that a word ends and another begins.
+    """
+    # The cost of each state, and its letters as a chain from the last ones back.
+    states = {(EDGE, EDGE): (0.0, ())}
     for char, run in groupby(word):
-        found: dict[tuple[int, int], tuple[float, str]] = {}
-        options = [(letters, letter_codes(letters), cost) for letters, cost in ways(char, len(list(run)))]
-        for (a, b), (before, text) in states.items():
+        found: dict[tuple[int, int], tuple[float, tuple]] = {}
+        readings = ways(char, len(list(run)))
+        if spaced:
+            readings = [(text, cost) for letters, cost in readings for text in parted(letters)]
+        options = [(text, [EDGE if c == " " else letter_codes(c)[0] for c in text], cost) for text, cost in readings]
+        for (a, b), (before, chain) in states.items():
             for letters, codes, cost in options:
                 x, y, total = a, b, before + cost
                 for c in codes:
-                    total -= float(model[x, y, c])
-                    x, y = y, c
+                    total -= float(model[x][y][c])
+                    x, y = (y, c) if c != EDGE else (EDGE, EDGE)
                 if (x, y) not in found or total < found[x, y][0]:
-                    found[x, y] = (total, text + letters)
+                    found[x, y] = (total, (chain, letters))
         states = found
-    return min((total - float(model[a, b, EDGE]), text) for (a, b), (total, text) in states.items())[1]
+    # After a space the last word has ended.
+    ends = [(total - (float(model[a][b][EDGE]) if b != EDGE or not spaced else 0.0), chain) for (a, b), (total, chain) in states.items()]
+    chain, out = min(ends, key=lambda end: end[0])[1], []
+    while chain:
+        chain, letters = chain
+        out.append(letters)
+    return "".join(reversed(out)).strip(" ")
+
+
+def parted(letters: str) -> list[str]:
+    """One or two letters with and without the end of a word after each."""
+    out = [""]
+    for c in letters:
+        out = [before + c + end for before in out for end in ("", " ")]
+    return out
 
 
 def plain_words(words: pa.Array, model: np.ndarray, memo: dict[str, str]) -> tuple[pa.Array, pa.Array]:
@@ -177,8 +201,12 @@ def plain_words(words: pa.Array, model: np.ndarray, memo: dict[str, str]) -> tup
 
 def feature_hashes(words: pa.Array) -> list[np.ndarray]:
     """For each word the hashes of its features; words too short for a prefix have that of the empty text."""
-    out = [pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False)]
-    for k in PREFIXES:
+    return [pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False), *prefix_hashes(words, PREFIXES)]
+
+
+def prefix_hashes(words: pa.Array, lengths: tuple[int, ...]) -> list[np.ndarray]:
+    out = []
+    for k in lengths:
         cut = pc.if_else(pc.greater_equal(pc.utf8_length(words), k), pc.utf8_slice_codeunits(words, 0, k), "")
         coded = cut.dictionary_encode()
         values = coded.dictionary.to_numpy(zero_copy_only=False)
@@ -187,38 +215,56 @@ def feature_hashes(words: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def spaced_words(single: np.ndarray, codes: np.ndarray, counts: np.ndarray, chars: np.ndarray) -> list[tuple[int, str]]:
-    """(text, letters) of each run of single characters; also without its first one or two, which may be words."""
+def spaced_words(single: np.ndarray, codes: np.ndarray, counts: np.ndarray, chars: np.ndarray) -> list[tuple[int, int, str]]:
+    """(text, place of its first word, letters) of each run of single characters."""
     row = np.repeat(np.arange(len(counts)), counts)
     alone = single[codes]
     if not alone.any():
         return []
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], alone, [False]]).astype(np.int8)))
+    first = np.cumsum(counts) - counts
+    at = np.flatnonzero(alone)
+    cuts = np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0)) + 1
+    starts = np.concatenate([[0], cuts])
+    lengths = np.diff(np.concatenate([starts, [len(at)]]))
     found = []
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        for _, part in groupby(range(a, b), lambda i: row[i]):
-            part = list(part)
-            if len(part) >= SPACED:
-                text = "".join(chars[codes[part]])
-                found += [(int(row[part[0]]), text[k:]) for k in range(3) if len(text) - k >= SPACED]
+    for a, n in zip(at[starts[lengths >= SPACED]].tolist(), lengths[lengths >= SPACED].tolist(), strict=True):
+        found.append((int(row[a]), int(a - first[row[a]]), "".join(chars[codes[a : a + n]])))
     return found
 
 
+def spaced_hashes(spaced: list[tuple[int, int, str, str]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Hashes of features, and their rows: of the words of each run, of all its letters, and of the letters from each
+    one on, should an end of a word be missed."""
+    words, word_rows, starts, start_rows = [], [], [], []
+    for row, _, _, restored in spaced:
+        own, letters = set(restored.split(" ")), restored.replace(" ", "")
+        words += [*own, letters]
+        word_rows += [row] * (len(own) + 1)
+        from_each = {letters[k : k + STARTS[-1]] for k in range(len(letters) - STARTS[0] + 1)}
+        starts += from_each
+        start_rows += [row] * len(from_each)
+    hashes = feature_hashes(pa.array(words, pa.large_string()))
+    more = prefix_hashes(pa.array(starts, pa.large_string()), STARTS)
+    return hashes + more, [np.array(word_rows, np.int64)] * len(hashes) + [np.array(start_rows, np.int64)] * len(more)
+
+
 class Features:
     """The features of texts, and with a table of scores the best score of each text."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.memo = model, {}
+        # Nested lists give single values faster than an array.
+        self.model, self.memo = model.tolist(), {}
 
-    def of(self, text: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, list[tuple[int, str]]]:
-        """Hashes per distinct word, those of its restored form, (text, word) pairs, and spaced words."""
+    def of(self, text: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, list[tuple[int, int, str, str]]]:
+        """Hashes per distinct word, those of its restored form, (text, word) pairs, and spaced words with what is restored."""
         distinct, codes, counts = coded_words(text)
         body, restored = plain_words(distinct, self.model, self.memo)
         row = np.repeat(np.arange(len(text)), counts)
         pairs = np.unique(row * max(1, len(distinct)) + codes)
         short = pc.equal(pc.utf8_length(body), 1).to_numpy(zero_copy_only=False)
         spaced = spaced_words(short, codes, counts, body.to_numpy(zero_copy_only=False))
-        spaced = [(r, restore(w, self.model)) for r, w in spaced]
+        spaced = [(r, at, w, restore(w, self.model, spaced=True)) for r, at, w in spaced]
+        self.spaced = spaced
         changed = pc.not_equal(body, restored).to_numpy(zero_copy_only=False)
         self.changed = changed
         self.distinct = distinct, restored
@@ -226,7 +272,7 @@ class Features:
 
 
 def text_features(features: Features, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature) of a batch of texts, each pair once; and the rows that hold a changed word."""
+    """(row, feature) of a batch of texts, each pair once; and the rows that hold a changed word or spaced ones."""
     plain, restored, pairs, spaced = features.of(text)
     n = max(1, len(features.changed))
     row, word = pairs // n, pairs % n
@@ -236,11 +282,11 @@ def text_features(features: Features, text: pa.Array) -> tuple[np.ndarray, np.nd
         hashes += [h[word[new]] for h in restored]
         rows += [row[new]] * len(restored)
     if spaced:
-        own = feature_hashes(pa.array([w for _, w in spaced], pa.large_string()))
+        own, own_rows = spaced_hashes(spaced)
         hashes += own
-        rows += [np.array([r for r, _ in spaced], np.int64)] * len(own)
+        rows += own_rows
     hash_, row_ = np.concatenate(hashes), np.concatenate(rows)
-    return hash_, row_, np.unique(row[features.changed[word]])
+    return hash_, row_, np.unique(np.concatenate([row[features.changed[word]], np.array([r for r, *_ in spaced], np.int64)]))
 
 
 def distinct_pairs(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -360,7 +406,7 @@ def toxicity(docs: DataFrame, fitted: tuple) -> DataFrame:
 
     ``score`` is the classifier's probability from the features of the whole text, in its own and
     in its restored words; null and empty texts have none and score as such. ``restored`` is the
-    text with restored words where these differ, else null. ``docs`` needs ``text``; all columns
+    text with restored words where these differ and spaced words joined, else null. ``docs`` needs ``text``; all columns
     stay inside ``row``, and nothing but the text is looked at.
     """
     model, known, (weights, bias) = fitted
@@ -387,14 +433,26 @@ def toxicity(docs: DataFrame, fitted: tuple) -> DataFrame:
 
 
 def restored_texts(text: pa.Array, features: Features, rows: np.ndarray) -> pa.Array:
-    """The texts of the given rows with each changed word replaced by its restored form."""
+    """The texts of the given rows with each changed word, and each run of spaced characters, replaced by what is restored."""
     out: list[str | None] = [None] * len(text)
     if len(rows):
         words, restored = features.distinct
         at = np.flatnonzero(features.changed)
         new = dict(zip(words.take(pa.array(at)).to_pylist(), restored.take(pa.array(at)).to_pylist(), strict=True))
-        for i in np.unique(rows).tolist():
-            out[i] = re.sub(r"[^\x20\x09-\x0D]+", lambda m: new.get(m[0], m[0]), text[i].as_py())
+        runs: dict[int, dict[int, tuple[int, str]]] = {}
+        for i, first, letters, found in features.spaced:
+            runs.setdefault(i, {})[first] = (len(letters), found)
+        for i in rows.tolist():
+            whole, parts, end, inside = text[i].as_py(), [], 0, 0
+            own = runs.get(i, {})
+            for k, m in enumerate(re.finditer(f"[^{SPACES}]+", whole)):
+                if k < inside:
+                    end = m.end()
+                    continue
+                n, found = own.get(k, (1, new.get(m[0], m[0])))
+                parts += [whole[end : m.start()], found]
+                end, inside = m.end(), k + n
+            out[i] = "".join([*parts, whole[end:]])
     return pa.array(out, pa.string())
 
 

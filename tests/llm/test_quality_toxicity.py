@@ -3,11 +3,29 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.llm.quality import COUNTS, RULES, fit_votes, judged, keep_good, quality_counts
-from tallybrook.llm.toxicity import EDGE, LETTERS, fit, held_out, keep_civil, letter_codes, letter_model, restore, toxicity, word_counts
+from tallybrook.llm.toxicity import (
+    EDGE,
+    LETTERS,
+    Features,
+    feature_hashes,
+    fit,
+    held_out,
+    keep_civil,
+    letter_codes,
+    letter_model,
+    prefix_hashes,
+    restore,
+    restored_texts,
+    spaced_hashes,
+    text_features,
+    toxicity,
+    word_counts,
+)
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -117,6 +135,29 @@ def test_words_are_restored(model, written, meant):
     assert restore(written, model) == meant
 
 
+@pytest.mark.parametrize(
+    "letters, meant",
+    [("totalidiot", "total idiot"), ("thelotofmoron", "the lot of moron"), ("isstupid", "is stupid"),
+     ("itist0t4lm0r0n", "it is total moron"), ("idiot", "idiot"), ("", "")],
+)
+def test_spaced_words_are_parted(model, letters, meant):
+    assert restore(letters, model, spaced=True) == meant
+
+
+def test_every_word_of_a_spaced_phrase_is_seen(model):
+    features = Features(model)
+    texts = pa.array(["so i t i s t o t a l i d i o t I S M 0 R 0 N.\nyes indeed", "a b c", None, "x " * 30_000])
+    hashes, rows, changed = text_features(features, texts)
+    seen = set(hashes[rows == 0].tolist())
+    for word in ("total", "idiot", "moron"):
+        assert {h[0] for h in feature_hashes(pa.array([word], pa.large_string()))} <= seen
+    assert changed.tolist() == [0, 3]
+    assert restored_texts(texts, features, changed)[0].as_py() == "so it is total idiot is moron\nyes indeed"
+    # Also where no end of a word is found.
+    letters = spaced_hashes([(0, 0, "youidiot", "youidiot")])[0]
+    assert prefix_hashes(pa.array(["idiot"]), (5,))[0][0] in np.concatenate(letters)
+
+
 def test_toxic_words_are_learned_also_when_hidden(spark, prose):
     r = random.Random(8)
     slurs = ["vorgak", "snulpit", "drekkolo"]
