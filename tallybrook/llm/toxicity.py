@@ -38,14 +38,18 @@ STANDS_FOR = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-# Costs in nats: a stand-in, a stand-in that means nothing, another sign inside a word, a shortened repetition.
-STAND_IN, IDLE_STAND_IN, SIGN, SHORTENED = 0.5, 6.0, 0.1, 0.2
+# Costs in nats: a stand-in, a stand-in that means nothing, another sign inside a word, a shortened repetition, a
+# character written twice for one.
+STAND_IN, IDLE_STAND_IN, SIGN, SHORTENED, DOUBLED = 0.5, 6.0, 0.1, 0.2, 4.0
 # Single characters one after another that make up a spaced word.
 SPACED = 4
 # Lengths of the prefixes that are taken from every letter of a run of spaced characters.
 STARTS = (4, 5, 6)
 
+# Around a word: signs, with $$ and @@ at its end, which may be noise or letters; and without these.
 EDGES = re.compile(r"^(?:[^\w$@!]|_)+|(?:[^\w$@]|_|([$@])\1+)+$")
+SIGNS_AROUND = re.compile(r"^(?:[^\w$@!]|_)+|(?:[^\w$@]|_)+$")
+TWICE = re.compile(r"(.)\1", re.DOTALL)
 
 
 def letter_codes(text: str) -> list[int]:
@@ -123,18 +127,43 @@ def letter_model(words: DataFrame) -> np.ndarray:
 # The channel.
 
 
-def ways(char: str, times: int) -> list[tuple[str, float]]:
+def ways(char: str, times: int, doubled: float = DOUBLED) -> list[tuple[str, float]]:
     """The letters that a run of one character may come from, and what each reading costs."""
     if char.isalpha():
-        return [(char * times, 0.0)] if times < 3 else [(char, SHORTENED), (char * 2, SHORTENED)]
+        if times > 2:
+            return [(char, SHORTENED), (char * 2, SHORTENED)]
+        return [(char * times, 0.0)] + [(char, doubled)] * (times == 2)
     if char in STANDS_FOR:
-        numbers = [times] if times < 3 else [1, 2]
-        return [(c * k, STAND_IN * k) for c in STANDS_FOR[char] for k in numbers] + [("", IDLE_STAND_IN)]
+        numbers = {1: [(1, 0.0)], 2: [(2, 0.0), (1, doubled)]}.get(times, [(1, 0.0), (2, 0.0)])
+        return [(c * k, STAND_IN * k + cost) for c in STANDS_FOR[char] for k, cost in numbers] + [("", IDLE_STAND_IN)]
     return [("", SIGN)]
 
 
 def restore(word: str, model: np.ndarray | list, spaced: bool = False) -> str:
-    """The likeliest letters behind a lower-cased word: Viterbi's search over the last two letters.
+    return likeliest(word, model, spaced)[1]
+
+
+def readings(word: str, model: np.ndarray | list) -> tuple[str, str]:
+    """The likeliest letters behind a word with signs around it, and those of its other reading.
+
+    ``$$`` or ``@@`` at the end may be noise or letters, digits without a letter a number or letters,
+    and of characters written twice one may be meant, however common both are; other words have
+    one reading, given twice.
+    """
+    whole, cut = SIGNS_AROUND.sub("", word), EDGES.sub("", word)
+    if not any(map(str.isalpha, word)) and any(map(str.isnumeric, word)):
+        return word, restore(whole, model)
+    if whole == cut:
+        best = restore(whole, model)
+        return best, likeliest(whole, model, doubled=0.0)[1] if TWICE.search(whole) else best
+    as_letters, as_noise = likeliest(whole, model), likeliest(cut, model)
+    # A word has letters, however cheap none are.
+    best, other = sorted((as_letters, as_noise), key=lambda x: (not x[1], x[0]))
+    return best[1], other[1]
+
+
+def likeliest(word: str, model: np.ndarray | list, spaced: bool = False, doubled: float = DOUBLED) -> tuple[float, str]:
+    """The cost and letters of the likeliest reading of a lower-cased word: Viterbi's search over the last two letters.
 
     With ``spaced`` the characters are those of several words; a space is put wherever it is
     likelier that a word ends and another begins.
@@ -143,10 +172,10 @@ def restore(word: str, model: np.ndarray | list, spaced: bool = False) -> str:
     states = {(EDGE, EDGE): (0.0, ())}
     for char, run in groupby(word):
         found: dict[tuple[int, int], tuple[float, tuple]] = {}
-        readings = ways(char, len(list(run)))
+        meant = ways(char, len(list(run)), doubled)
         if spaced:
-            readings = [(text, cost) for letters, cost in readings for text in parted(letters)]
-        options = [(text, [EDGE if c == " " else letter_codes(c)[0] for c in text], cost) for text, cost in readings]
+            meant = [(text, cost) for letters, cost in meant for text in parted(letters)]
+        options = [(text, [EDGE if c == " " else letter_codes(c)[0] for c in text], cost) for text, cost in meant]
         for (a, b), (before, chain) in states.items():
             for letters, codes, cost in options:
                 x, y, total = a, b, before + cost
@@ -158,11 +187,12 @@ def restore(word: str, model: np.ndarray | list, spaced: bool = False) -> str:
         states = found
     # After a space the last word has ended.
     ends = [(total - (float(model[a][b][EDGE]) if b != EDGE or not spaced else 0.0), chain) for (a, b), (total, chain) in states.items()]
-    chain, out = min(ends, key=lambda end: end[0])[1], []
+    cost, chain = min(ends, key=lambda end: end[0])
+    out = []
     while chain:
         chain, letters = chain
         out.append(letters)
-    return "".join(reversed(out)).strip(" ")
+    return cost, "".join(reversed(out)).strip(" ")
 
 
 def parted(letters: str) -> list[str]:
@@ -173,27 +203,34 @@ def parted(letters: str) -> list[str]:
     return out
 
 
-def plain_words(words: pa.Array, model: np.ndarray, memo: dict[str, str]) -> tuple[pa.Array, pa.Array]:
-    """Each word lower-cased without the signs around it, and what is restored from it."""
+def plain_words(words: pa.Array, model: np.ndarray | list, memo: dict[str, tuple[str, str]]) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Each word lower-cased without the signs around it, what is restored from it, and its other reading."""
     lower = pc.utf8_lower(words)
     body = pc.replace_substring_regex(lower, r"^[^\pL\pN$@!]+|[^\pL\pN$@]+$", "")
     simple = pc.match_substring_regex(body, r"^\pL*$")
-    # Three letters alike, or signs among letters.
-    odd = pc.and_(
-        pc.match_substring_regex(body, r"\pL"),
-        pc.or_(pc.invert(simple), pc.match_substring_regex(body, "(?:" + "|".join(f"{c}{c}{c}" for c in "abcdefghijklmnopqrstuvwxyz") + ")")),
-    )
+    # Signs among letters, signs or digits that stand for letters, or two letters alike; the latter of other than a-z are looked for below.
+    stand_in = "[" + "".join(re.escape(c) for c in STANDS_FOR) + "]"
+    twice = pc.match_substring_regex(body, "[^a-z]|" + "|".join(f"{c}{c}" for c in "abcdefghijklmnopqrstuvwxyz"))
+    odd = pc.if_else(simple, twice, pc.match_substring_regex(body, rf"\pL|{stand_in}"))
     at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-    restored = []
-    for word in body.take(pa.array(at)).to_pylist():
-        if word not in memo:
-            if len(memo) > 200_000:
-                memo.clear()
-            memo[word] = restore(EDGES.sub("", word), model)
-        restored.append(memo[word])
+    plain = simple.to_numpy(zero_copy_only=False)[at].tolist()
+    best, other = [], []
+    for word, only_letters in zip(body.take(pa.array(at)).to_pylist(), plain, strict=True):
+        if only_letters and not TWICE.search(word):
+            found = word, word
+        else:
+            found = memo.get(word)
+            if found is None:
+                if len(memo) > 200_000:
+                    memo.clear()
+                found = memo[word] = readings(word, model)
+        best.append(found[0])
+        other.append(found[1])
     out = body.to_numpy(zero_copy_only=False).copy()
-    out[at] = restored
-    return body, pa.array(out, pa.large_string())
+    out[at] = best
+    more = out.copy()
+    more[at] = other
+    return body, pa.array(out, pa.large_string()), pa.array(more, pa.large_string())
 
 
 # Features: a whole word, and its first letters.
@@ -255,32 +292,44 @@ class Features:
         # Nested lists give single values faster than an array.
         self.model, self.memo = model.tolist(), {}
 
-    def of(self, text: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, list[tuple[int, int, str, str]]]:
-        """Hashes per distinct word, those of its restored form, (text, word) pairs, and spaced words with what is restored."""
+    def of(self, text: pa.Array) -> tuple[list[tuple[np.ndarray, list[np.ndarray]]], np.ndarray, list[tuple[int, int, str, str]]]:
+        """(words, hashes) of each form: as written, restored, other reading; (text, word) pairs, and spaced words with what is restored."""
         distinct, codes, counts = coded_words(text)
-        body, restored = plain_words(distinct, self.model, self.memo)
+        body, restored, other = plain_words(distinct, self.model, self.memo)
         row = np.repeat(np.arange(len(text)), counts)
         pairs = np.unique(row * max(1, len(distinct)) + codes)
         short = pc.equal(pc.utf8_length(body), 1).to_numpy(zero_copy_only=False)
         spaced = spaced_words(short, codes, counts, body.to_numpy(zero_copy_only=False))
         spaced = [(r, at, w, restore(w, self.model, spaced=True)) for r, at, w in spaced]
         self.spaced = spaced
-        changed = pc.not_equal(body, restored).to_numpy(zero_copy_only=False)
-        self.changed = changed
+        self.changed = pc.not_equal(body, restored).to_numpy(zero_copy_only=False)
         self.distinct = distinct, restored
-        return feature_hashes(body), feature_hashes(restored) if changed.any() else [], pairs, spaced
+        forms = [(np.ones(len(body), bool), feature_hashes(body))]
+        two = pc.not_equal(restored, other).to_numpy(zero_copy_only=False)
+        for words, new in ((restored, self.changed), (other, two)):
+            if new.any():
+                at = np.flatnonzero(new)
+                forms.append((new, [widened(h, at, len(new)) for h in feature_hashes(words.take(pa.array(at)))]))
+        return forms, pairs, spaced
+
+
+def widened(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """An array of ``size`` places with the values at the given ones."""
+    out = np.zeros(size, values.dtype)
+    out[at] = values
+    return out
 
 
 def text_features(features: Features, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature) of a batch of texts, each pair once; and the rows that hold a changed word or spaced ones."""
-    plain, restored, pairs, spaced = features.of(text)
+    forms, pairs, spaced = features.of(text)
     n = max(1, len(features.changed))
     row, word = pairs // n, pairs % n
-    hashes, rows = [h[word] for h in plain], [row] * len(plain)
-    if restored:
-        new = features.changed[word]
-        hashes += [h[word[new]] for h in restored]
-        rows += [row[new]] * len(restored)
+    hashes, rows = [], []
+    for new, own in forms:
+        here = new[word]
+        hashes += [h[word[here]] for h in own]
+        rows += [row[here]] * len(own)
     if spaced:
         own, own_rows = spaced_hashes(spaced)
         hashes += own
