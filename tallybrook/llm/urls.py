@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ RULES = (
     ("net/es/", BLOCK),
     ("net/fr/", BLOCK),
 )
-# Path segments that data may turn into wildcards; deeper ones are generalised by their digits alone.
+# Levels that the SQL counterpart spells out; the operator goes on as deep as the paths branch.
 DEPTH = 4
 # A node's children are variable if there are so many, with fewer pages each than this on average.
 CHILDREN, PAGES_PER_CHILD = 12, 3
@@ -43,26 +45,37 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
     return found
 
 
-def template_tree(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
+def template_tree(paths: DataFrame) -> DataFrame:
     """(host, shape, template) for distinct rows of (host, shape, pages).
 
     From the root down, a node's children become one wildcard where the data shows that they
-    vary: many children, few pages each. A child below a wildcard belongs to it.
+    vary: many children, few pages each. A child below a wildcard belongs to it. A level is
+    stored before the next; the shapes below a node are among those below its parent, so where
+    they are fewer than ``CHILDREN`` nothing deeper can vary, and the shapes are done.
     """
     tree = paths.select("host", "shape", "pages", F.split("shape", "/").alias("parts"))
-    for d in range(1, depth + 1):
+    done, d = [], 1
+    while True:
         tree = tree.withColumns(
             {"above": F.array_join(F.slice("parts", 1, d), "/"), "child": F.get(F.col("parts"), F.lit(d))}
         )
-        children = tree.where("child IS NOT NULL").groupBy("host", "above", "child").agg(F.sum("pages").alias("pages"))
-        nodes = children.groupBy("host", "above").agg(F.count("*").alias("n"), F.sum("pages").alias("pages"))
-        varied = nodes.where((F.col("n") >= CHILDREN) & (F.col("pages") < PAGES_PER_CHILD * F.col("n")))
-        tree = tree.join(varied.select("host", "above", F.lit(True).alias("varied")), ["host", "above"], "left")
+        children = tree.where("child IS NOT NULL").groupBy("host", "above", "child")
+        children = children.agg(F.sum("pages").alias("pages"), F.count("*").alias("shapes"))
+        nodes = children.groupBy("host", "above").agg(
+            F.count("*").alias("n"), F.sum("pages").alias("pages"), F.sum("shapes").alias("shapes")
+        )
+        varied = (F.col("n") >= CHILDREN) & (F.col("pages") < PAGES_PER_CHILD * F.col("n"))
+        nodes = nodes.where(F.col("shapes") >= CHILDREN).select("host", "above", varied.alias("varied"))
+        tree = tree.join(nodes, ["host", "above"], "left")
         wild = F.concat(F.slice("parts", 1, d), F.array(F.lit("*")), F.slice("parts", d + 2, 1 << 20))
-        tree = tree.withColumn(
-            "parts", F.when(F.col("varied") & F.col("child").isNotNull(), wild).otherwise(F.col("parts"))
-        ).drop("varied")
-    return tree.select("host", "shape", F.array_join("parts", "/").alias("template"))
+        parts = F.when(F.col("varied") & F.col("child").isNotNull(), wild).otherwise(F.col("parts"))
+        deeper = F.col("varied").isNotNull() & F.col("child").isNotNull()
+        level = stored(tree.select("host", "shape", "pages", parts.alias("parts"), deeper.alias("deeper")), "url-levels")
+        done.append(level.where("NOT deeper").select("host", "shape", F.array_join("parts", "/").alias("template")))
+        tree = level.where("deeper").drop("deeper")
+        if tree.isEmpty():
+            return reduce(DataFrame.unionAll, done)
+        d += 1
 
 
 def judged_templates(leaves: DataFrame) -> DataFrame:
@@ -90,7 +103,7 @@ def judged_templates(leaves: DataFrame) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, depth: int = DEPTH) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     """(row, host, path, rule, template, purity, verdict) for every row of ``pages``.
 
     Pages under a rule get its verdict and are the labels of the templates; other pages are
@@ -113,7 +126,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, dep
         ),
         "url-shapes",
     )
-    tree = stored(template_tree(shapes.select("host", "shape", "pages"), depth), "url-templates")
+    tree = stored(template_tree(shapes.select("host", "shape", "pages")), "url-templates")
     leaves = shapes.join(tree, ["host", "shape"])
     verdicts = judged_templates(leaves.select("host", "template", "good", "bad"))
     by_shape = stored(

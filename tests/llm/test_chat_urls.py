@@ -105,6 +105,17 @@ def test_variable_segments_become_wildcards(spark):
     assert got == {("h", "/blog/*/view"), ("h", "/about/us"), ("g", "/blog/post-x/view")}
 
 
+def test_deep_segments_become_wildcards(spark):
+    slugs = [f"{a}{b}" for a in "abcdef" for b in "ghi"]
+    rows = [("five", f"/en/#/#/#/{s}", 1) for s in slugs] + [("six", f"/a/b/c/d/e/{s}/view", 1) for s in slugs]
+    rows += [("five", "/en/#/#/x", 1), ("few", "/a/b/c/d/e/f/g", 1)]
+    tree = template_tree(spark.createDataFrame(rows, "host string, shape string, pages long")).collect()
+    assert len(tree) == len(rows)
+    assert {(r.host, r.template) for r in tree} == {
+        ("five", "/en/#/#/#/*"), ("six", "/a/b/c/d/e/*/view"), ("five", "/en/#/#/x"), ("few", "/a/b/c/d/e/f/g"),
+    }
+
+
 def test_templates_like_the_blocked_ones_are_rejected(spark):
     bad, good = (("bad.test/ads/", "block"), ("bad.test/news/", "allow"))
     urls = [f"http://bad.test/ads/{k}" for k in range(30)] + [f"http://bad.test/news/{k}" for k in range(30)]
