@@ -56,9 +56,13 @@ def csv_stream(
 
 
 def table_stream(
-    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """A Parquet table, one file or a folder of files, read as a stream.
+    """A Parquet table, one file or a folder of files, read as a stream; all its columns or the named ones.
 
     Files are taken in order of arrival. Where they do not follow event time, a pace makes
     rows late that one batch would count; so watermarked jobs pace ordered input only.
@@ -69,6 +73,8 @@ def table_stream(
     head, last = re.fullmatch(r"(.*?)(\\?.)", marked, re.DOTALL).groups()
     pattern = f"{head}[{last}]"
     schema = spark.read.parquet(pattern).schema
+    if columns:
+        schema = T.StructType([schema[c] for c in columns])
     return spark.readStream.schema(schema).options(**_pace(max_files, max_bytes)).parquet(pattern)
 
 
