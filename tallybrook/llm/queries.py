@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.chat import CHAT_SQL, format_chats
 from tallybrook.llm.common import read, stored
+from tallybrook.llm.exact_dups import EXACT_SQL, exact_duplicates
 from tallybrook.llm.mixing import MIX_SQL, mix_plan
 from tallybrook.llm.near_dups import near_duplicates
 from tallybrook.llm.packing import pack_documents
@@ -104,6 +105,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=4)
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the row that stays of those with the same text."""
+    return exact_duplicates(spark, f"{sf_dir}/documents.parquet").select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
 LLM_QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
@@ -115,10 +123,12 @@ LLM_QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_exact_duplicates": op11_exact_duplicates,
 }
 LLM_ORACLES: dict[str, str] = {
     "op2_chat_format": CHAT_SQL,
     "op3_url_filter": URL_SQL,
     "op6_mixing": MIX_SQL,
     "op8_top_k": TOPK_SQL,
+    "op11_exact_duplicates": EXACT_SQL,
 }
