@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm.chat import CHAT_SQL, format_chats
 from tallybrook.llm.common import read, stored
 from tallybrook.llm.exact_dups import EXACT_SQL, exact_duplicates
+from tallybrook.llm.lexical import RANKED_SQL, ranked_documents
 from tallybrook.llm.mixing import MIX_SQL, mix_plan
 from tallybrook.llm.near_dups import near_duplicates
 from tallybrook.llm.packing import pack_documents
@@ -112,6 +113,11 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of all documents for each item of the benchmark."""
+    return ranked_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
@@ -124,6 +130,7 @@ LLM_QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op13_lexical_search": op13_lexical_search,
 }
 LLM_ORACLES: dict[str, str] = {
     "op2_chat_format": CHAT_SQL,
@@ -131,4 +138,5 @@ LLM_ORACLES: dict[str, str] = {
     "op6_mixing": MIX_SQL,
     "op8_top_k": TOPK_SQL,
     "op11_exact_duplicates": EXACT_SQL,
+    "op13_lexical_search": RANKED_SQL,
 }
