@@ -14,6 +14,7 @@ from tallybrook.llm.near_dups import near_duplicates
 from tallybrook.llm.packing import pack_documents
 from tallybrook.llm.quality import judged, quality_counts
 from tallybrook.llm.sharding import record_size, shards
+from tallybrook.llm.spelling import spelling_variants
 from tallybrook.llm.token_files import round_trip
 from tallybrook.llm.topk import TOPK_SQL, top_k
 from tallybrook.llm.toxicity import THRESHOLD, fit, held_out, toxicity
@@ -113,6 +114,11 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of all documents with the spelling that each is a variant of."""
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best of all documents for each item of the benchmark."""
     return ranked_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -130,6 +136,7 @@ LLM_QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_lexical_search": op13_lexical_search,
 }
 LLM_ORACLES: dict[str, str] = {
