@@ -22,6 +22,7 @@ from tallybrook.plans import lottery, staff, streams, words
 from tallybrook.session import session_settings, work_folder
 from tallybrook.sources import catalog, files
 from tallybrook.streaming import events, inputs, results, topics
+from tallybrook.streaming.metrics import BatchMetrics, rows_dropped_late
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -718,13 +719,13 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def keyed_avg(spark, sf_dir):
-    """Average per message key; the topic is written by a second stream at the same time."""
+    """Average per message key; the table and the topic are written from one reading of the messages."""
     with results.stream_settings(spark):
         messages = event_messages(spark, sf_dir)
         running, clients, _ = streams.start_client_averages(
             messages, work_folder(spark, "keyed_avg"), trigger=results.ONCE, as_type=MONEY
         )
-        results.wait_for_all(*running)
+        results.wait_for_all(running)
     return clients.read().withColumn("average_value", F.round("average_value", 6))
 
 
@@ -748,8 +749,9 @@ def usage_pct(spark, sf_dir):
             (F.col("l_extendedprice") * F.col("l_discount")).alias("free"),
         )
         averages = events.keyed_average(events.usage_messages(telemetry, "l_returnflag", "total", "free"))
-        table = results.run_to_table(averages, work_folder(spark, "usage_pct"), "complete")
-    return table.select(F.col("key").alias("l_returnflag"), F.round("average", 4).alias("usage"))
+        running, view = results.start_view(averages, work_folder(spark, "usage_pct"))
+        results.wait_for_all(running)
+    return spark.table(view).select(F.col("key").alias("l_returnflag"), F.round("average", 4).alias("usage"))
 
 
 @query
@@ -764,40 +766,45 @@ def stream_passthrough(spark, sf_dir):
     return files.read_table(spark, f"{folder}/out")
 
 
-@query
-def late_words(spark, sf_dir):
+LATE = "late_words"
+
+
+def late_run(spark: SparkSession, sf_dir: str, metrics: BatchMetrics | None = None) -> results.ResultTable:
     """Three files in order of arrival, the last with lines of the first day: these come too late."""
-    folder = work_folder(spark, "late_words")
+    folder = work_folder(spark, LATE)
     time = event_time(load(spark, sf_dir, "events"), "ts")
     source = load(spark, sf_dir, "events").select(
         time.cast("date").alias("day"), F.concat_ws(",", time.cast("string"), "event_type").alias("value")
     )
-    first = source.agg(F.min("day").alias("first"))
-    arrivals = [
-        source.join(first, F.col("day") == F.col("first")),
-        source.join(first, F.col("day") > F.date_add("first", 1)),
-        source.join(first, F.col("day") == F.col("first")),
-    ]
-    keys = [*WINDOW_KEYS, "word"]
+    first = F.broadcast(source.agg(F.min("day").alias("first")))
+    arrivals = [source.join(first, F.expr(when)).select("value") for when in ("day = first", "day > first", "day = first")]
     with results.stream_settings(spark):
         for rows in arrivals:
             # One run after the other, so that each arrival is a micro-batch of its own.
-            rows.select("value").write.mode("append").text(f"{folder}/in")
+            rows.write.mode("append").text(f"{folder}/in")
             lines = inputs.line_stream(spark, f"{folder}/in")
-            counts = events.flat_windows(streams.windowed_word_count(lines, "10 minutes", "5 minutes"))
-            table = results.run_to_table(counts, folder, "update", keys)
+            counts = events.flat_windows(streams.windowed_word_count(lines, "10 minutes", "5 minutes", observed=LATE))
+            running, table = results.start_table(counts, folder, "update", [*WINDOW_KEYS, "word"])
+            results.wait_for_all(running)
+            if metrics:
+                metrics.wait_for(running)
     return table
 
 
+@query
+def late_words(spark, sf_dir):
+    return late_run(spark, sf_dir).read()
+
+
 @query
 def late_rows(spark, sf_dir):
-    """How many of the lines of `late_words` were dropped."""
-    table = late_words(spark, sf_dir)
-    days = load(spark, sf_dir, "events").select(event_time(load(spark, sf_dir, "events"), "ts").cast("date").alias("day"))
-    first = days.agg(F.min("day").alias("first"))
-    given = days.join(first, F.col("day") == F.col("first")).select("day")
-    given = given.unionAll(given).unionAll(days.join(first, F.col("day") > F.date_add("first", 1)).select("day"))
-    return results.rows_dropped_late(given, table, "day")
+    """How many of the lines of `late_words` were dropped, by the stream's own metrics."""
+    metrics = BatchMetrics(spark, work_folder(spark, "late_metrics"))
+    try:
+        table = late_run(spark, sf_dir, metrics)
+    finally:
+        metrics.stop()
+    return rows_dropped_late(metrics.read(), f"{LATE}.given", table.read())
 
 
 @query
@@ -806,14 +813,14 @@ def stream_every_second(spark, sf_dir):
     with results.stream_settings(spark):
         rows = stream(spark, sf_dir, "orders")
         counts = counting.count_by(rows, "o_orderstatus", name="count")
-        running, table = results.start_table(
-            counts, work_folder(spark, "stream_every_second"), "complete", trigger={"processingTime": "1 second"}
+        running, view = results.start_view(
+            counts, work_folder(spark, "stream_every_second"), trigger={"processingTime": "1 second"}
         )
         try:
             running.processAllAvailable()
         finally:
             running.stop()
-    return table.read()
+    return spark.table(view)
 
 
 @query

@@ -49,8 +49,8 @@ INTERVAL_PAIRS = """select c.user_id, c.event_id as click_id, c.ts as click_ts,
 
 # Lines of the first day arrive again after the watermark has passed it.
 LATE = """with first as (select min(ts::date) as first from events),
-  mark as (select max(ts) - interval 5 minute as mark from events, first where ts::date > first + 1),
-  counted as (select ts, event_type from events, first where ts::date = first or ts::date > first + 1
+  mark as (select max(ts) - interval 5 minute as mark from events, first where ts::date > first),
+  counted as (select ts, event_type from events, first where ts::date >= first
     union all select ts, event_type from events, first, mark
       where ts::date = first and time_bucket(interval 10 minute, ts) + interval 10 minute > mark)"""
 
@@ -210,7 +210,7 @@ ORACLES: dict[str, str] = {
       time_bucket(interval 10 minute, ts) + interval 10 minute as window_end, event_type as word, count(*) as count
       from counted group by all""",
     "late_rows": LATE + """ select (select 2 * count(*) from events, first where ts::date = first)
-      + (select count(*) from events, first where ts::date > first + 1) - (select count(*) from counted) as late""",
+      + (select count(*) from events, first where ts::date > first) - (select count(*) from counted) as late""",
     "stream_every_second": "select o_orderstatus, count(*) as count from orders group by all",
     "cleaning_job": """select c_custkey, segment, id_name, crypto, unnest(string_split(c_name, '#')) as part from
       (select distinct c_custkey, c_name, c_mktsegment as segment, c_custkey || '_' || c_name as id_name,

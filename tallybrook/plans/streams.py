@@ -9,8 +9,8 @@ from tallybrook.functions.text import SPACE, word_rows
 from tallybrook.operators.counting import count_by
 from tallybrook.operators.joins import range_join, with_attributes
 from tallybrook.streaming.events import keyed_average, timed_words, windowed_count
-from tallybrook.streaming.results import ResultTable, start_table
-from tallybrook.streaming.topics import as_messages, start_topic, start_topic_files
+from tallybrook.streaming.results import ResultTable, start_fan_out
+from tallybrook.streaming.topics import as_messages, send
 
 
 def running_word_count(lines: DataFrame, text: str = "value", separator: str = SPACE) -> DataFrame:
@@ -18,9 +18,11 @@ def running_word_count(lines: DataFrame, text: str = "value", separator: str = S
     return count_by(word_rows(lines, text, separator, keep_empty=True), "word", name="count")
 
 
-def windowed_word_count(lines: DataFrame, width: str = "5 minutes", lateness: str | None = None) -> DataFrame:
+def windowed_word_count(
+    lines: DataFrame, width: str = "5 minutes", lateness: str | None = None, observed: str | None = None
+) -> DataFrame:
     """Words per tumbling window of lines ``timestamp,words``; with a lateness, late rows go."""
-    return windowed_count(timed_words(lines), "eventTime", ["word"], width, lateness)
+    return windowed_count(timed_words(lines), "eventTime", ["word"], width, lateness, observed=observed)
 
 
 def hourly_actions(
@@ -75,17 +77,20 @@ def start_client_averages(
     topic: str | None = None,
     trigger: dict | None = None,
     as_type: str = "double",
-) -> tuple[list[StreamingQuery], ResultTable, ResultTable | None]:
-    """Average value per client, to a result table and to a topic at the same time.
+) -> tuple[StreamingQuery, ResultTable, ResultTable | None]:
+    """Average value per client, to a result table and to a topic, from one reading of the messages.
 
-    Returns both streams, started; the result table; and, when no broker is named, the
+    Returns the stream, started; the result table; and, when no broker is named, the
     table that stands for the topic.
     """
     averages = keyed_average(messages, as_type=as_type)
-    table = averages.withColumnsRenamed({"key": "client", "average": "average_value"})
-    first, result = start_table(table, f"{folder}/clients", "complete", trigger=trigger)
-    out = as_messages(averages, "key", "average")
+    spark, clients = messages.sparkSession, averages.withColumnsRenamed({"key": "client", "average": "average_value"})
+    result = ResultTable(spark, f"{folder}/clients", clients.schema, "complete")
+    to_table = lambda batch, number: result.write(batch.toDF(*clients.columns), number)
     if servers and topic:
-        return [first, start_topic(out, servers, topic, f"{folder}/topic/checkpoint", trigger=trigger)], result, None
-    second, sent = start_topic_files(out, f"{folder}/topic", trigger=trigger)
-    return [first, second], result, sent
+        sent, to_topic = None, lambda batch, _: send(as_messages(batch, "key", "average"), servers, topic)
+    else:
+        sent = ResultTable(spark, f"{folder}/topic", as_messages(averages, "key", "average").schema, "complete")
+        to_topic = lambda batch, number: sent.write(as_messages(batch, "key", "average"), number)
+    stream = start_fan_out(averages, [to_table, to_topic], f"{folder}/checkpoint", "complete", trigger)
+    return stream, result, sent

@@ -1,14 +1,13 @@
-"""Result tables of streams, and starting and ending streams."""
+"""Results of streams as plain tables and views, and starting and ending streams."""
 
 from __future__ import annotations
 
-import json
-import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +17,12 @@ from tallybrook.session import STREAM_STATE, session_settings
 
 ONCE = {"availableNow": True}
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
-BATCH = "_batch"
+BATCH, SLOT, UPTO = "_batch", "_slot", "_upto"
 SECONDS_EACH = 0.5
 
+# What a sink does with one micro-batch and its number.
+Write = Callable[[DataFrame, int], None]
+
 
 @contextmanager
 def stream_settings(spark: SparkSession, state_partitions: int | None = None) -> Iterator[None]:
@@ -43,15 +45,29 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
         yield
 
 
+def replace_parts(df: DataFrame, path: str, part: str) -> None:
+    """Write a partitioned table; of the folders there are, only those that ``df`` has rows for are replaced."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, empty if nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 @dataclass
 class ResultTable:
-    """A stream's result as Parquet folders and a manifest that says which of them count.
+    """A stream's result as a Parquet table, written by ``foreachBatch``.
 
-    Each micro-batch writes a folder of its own and then replaces the manifest in one step, so the
-    table changes batch by batch and a batch that runs again takes the place of its first
-    try. In update mode ``merge_every`` folders of one level are merged into one of the next, so a row
-    is rewritten once per level and few folders are read. Folders no longer in use stay for
-    ``keep_seconds``, for frames read before. Append mode is Spark's own file sink.
+    In update mode each micro-batch has a folder named by its number, so one that runs again replaces itself,
+    and reading takes the last state of each key. `compact` is a job of its own for tables of many batches. In
+    complete mode the last two results are kept, in two folders by turns, and the later one is
+    read. Append mode is Spark's own file sink.
     """
 
     spark: SparkSession
@@ -59,97 +75,62 @@ class ResultTable:
     schema: T.StructType
     mode: str
     keys: list[str] = field(default_factory=list)
-    merge_every: int = 16
-    keep_seconds: float = 3600.0
-
-    def _place(self, name: str = ""):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def manifest(self) -> dict:
-        """``parts`` with level, folder and last batch, and ``retired`` folders with the time they went."""
-        place, system = self._place("manifest.json")
-        if system.exists(place):
-            source = system.open(place)
-            try:
-                return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
-            finally:
-                source.close()
-        folder, _ = self._place()
-        if system.exists(folder) and any(f.getPath().getName().startswith("part-of-") for f in system.listStatus(folder)):
-            raise ValueError(f"{self.path} holds results but no manifest")
-        return {"parts": [], "retired": []}
-
-    def _store(self, manifest: dict) -> None:
-        new, system = self._place(f"manifest-{uuid.uuid4().hex}")
-        out = system.create(new, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        jvm, old = self.spark._jvm, self._place("manifest.json")[0]
-        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), self.spark._jsc.hadoopConfiguration())
-        files.rename(system.makeQualified(new), system.makeQualified(old), options)
-
-    def batches(self) -> list[int]:
-        """The last batch of each folder in use."""
-        return sorted(part["batch"] for part in self.manifest()["parts"])
-
-    def _write_part(self, rows: DataFrame, level: int, batch: int) -> dict:
-        name = f"part-of-{batch}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{name}")
-        return {"level": level, "folder": name, "batch": batch}
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Store one micro-batch; called by Spark once per batch or again after a failure."""
-        manifest = self.manifest()
-        before = manifest["parts"]
-        if any(part["batch"] >= batch_id and part["level"] for part in before):
-            return  # already merged with later ones
         numbered = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        parts = [part for part in before if part["batch"] != batch_id and self.mode != "complete"]
-        parts.append(self._write_part(numbered, 0, batch_id))
-        level = 0
-        while self.mode == "update" and sum(part["level"] == level for part in parts) >= self.merge_every:
-            merged = [part for part in parts if part["level"] == level]
-            rows = self._latest(self._rows(merged), with_batch=True)
-            last = max(part["batch"] for part in merged)
-            parts = [part for part in parts if part["level"] != level] + [self._write_part(rows, level + 1, last)]
-            level += 1
-        used, now = {part["folder"] for part in parts}, time.time()
-        retired = [[part["folder"], now] for part in before if part["folder"] not in used]
-        stay = [old for old in manifest["retired"] if now - old[1] < self.keep_seconds]
-        gone = [old[0] for old in manifest["retired"] if now - old[1] >= self.keep_seconds]
-        self._store({"parts": parts, "retired": stay + retired})
-        for name in gone:
-            place, system = self._place(name)
-            system.delete(place, True)
-
-    def _rows(self, parts: list[dict]) -> DataFrame:
-        stored = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
-        return self.spark.read.schema(stored).parquet(*[f"{self.path}/{part['folder']}" for part in parts])
-
-    def _latest(self, rows: DataFrame, with_batch: bool = False) -> DataFrame:
-        """The last state of each key."""
+        if self.mode == "complete":
+            replace_parts(numbered.withColumn(SLOT, F.lit(batch_id % 2)), self.path, SLOT)
+        else:
+            replace_parts(numbered, self.path, BATCH)
+
+    def _stored(self, part: str | None = None) -> T.StructType:
+        fields = [*self.schema.fields, T.StructField(BATCH, T.LongType())]
+        return T.StructType(fields + ([T.StructField(part, T.LongType())] if part else []))
+
+    def batches(self) -> DataFrame:
+        """All that update mode has written, with the batch of each row."""
+        return read_if_there(self.spark, self.path, self._stored())
+
+    def _merged(self) -> tuple[DataFrame, int]:
+        """The rows of the last `compact` and the last batch in them, -1 without one."""
+        merged = read_if_there(self.spark, f"{self.path}-merged", self._stored(UPTO))
+        upto = merged.agg(F.max(UPTO)).first()[0]
+        upto = -1 if upto is None else upto
+        return merged.where(F.col(UPTO) == upto).drop(UPTO), upto
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        """The last state of each key, with its batch."""
         values = [c for c in self.schema.names if c not in self.keys]
         last = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values, BATCH), BATCH).alias("_last"))
         columns = [F.col(c) if c in self.keys else F.col(f"_last.{c}").alias(c) for c in self.schema.names]
-        return last.select(*columns, *([F.col(f"_last.{BATCH}").alias(BATCH)] if with_batch else []))
+        return last.select(*columns, F.col(f"_last.{BATCH}").alias(BATCH))
+
+    def compact(self) -> None:
+        """Bring all batches but the last, which may run again, to a row per key, from which reading then starts.
+
+        It may run beside the stream and its readers: it writes one folder and removes nothing. Folders of
+        batches up to that one are not read any more; the storage's own rules may let them go.
+        """
+        merged, upto = self._merged()
+        later = self.batches().where(F.col(BATCH) > upto)
+        last = later.agg(F.max(BATCH)).first()[0]
+        if last is not None and last - 1 > upto:
+            rows = self._latest(merged.unionByName(later.where(F.col(BATCH) < last)))
+            replace_parts(rows.withColumn(UPTO, F.lit(last - 1).cast("bigint")), f"{self.path}-merged", UPTO)
 
     def read(self) -> DataFrame:
-        """The result so far: the last batch in complete mode, the last state of each key in
+        """The result so far: the last one in complete mode, the last state of each key in
         update mode, all rows in append mode."""
         if self.mode == "append":
-            place, system = self._place("_spark_metadata")
-            if not system.exists(place):
-                return self.spark.createDataFrame([], self.schema)
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        parts = self.manifest()["parts"]
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        rows = self._rows(parts)
-        return rows.drop(BATCH) if self.mode == "complete" else self._latest(rows)
+            return read_if_there(self.spark, self.path, self.schema)
+        if self.mode == "complete":
+            rows = read_if_there(self.spark, self.path, self._stored(SLOT))
+            last = rows.agg(F.max(BATCH).alias("_last"))
+            return rows.join(F.broadcast(last), F.col(BATCH) == F.col("_last")).select(*self.schema.names)
+        merged, upto = self._merged()
+        rows = merged.unionByName(self.batches().where(F.col(BATCH) > upto))
+        return self._latest(rows).drop(BATCH)
 
 
 def start_table(
@@ -160,7 +141,6 @@ def start_table(
     trigger: dict | None = None,
     checkpoint: str | None = None,
     name: str | None = None,
-    merge_every: int = 16,
 ) -> tuple[StreamingQuery, ResultTable]:
     """Write a stream to a `ResultTable` in a folder, with its progress kept beside it.
 
@@ -169,22 +149,90 @@ def start_table(
     """
     if mode == "update" and not keys:
         raise ValueError("update mode needs the keys of the result")
-    table = ResultTable(df.sparkSession, f"{folder}/result", df.schema, mode, keys or [], merge_every)
-    writer = df.writeStream.outputMode(mode).trigger(**(trigger or ONCE))
-    writer = writer.option("checkpointLocation", checkpoint or f"{folder}/checkpoint")
-    if name:
-        writer = writer.queryName(name)
+    table = ResultTable(df.sparkSession, f"{folder}/result", df.schema, mode, keys or [])
+    checkpoint = checkpoint or f"{folder}/checkpoint"
     if mode == "append":
-        return writer.format("parquet").option("path", table.path).start(), table
-    return writer.foreachBatch(table.write).start(), table
+        return start_files(df, table.path, checkpoint, trigger, name=name), table
+    return start_fan_out(df, [table.write], checkpoint, mode, trigger, name), table
+
+
+def start_fan_out(
+    df: DataFrame,
+    writes: list[Write],
+    checkpoint: str,
+    mode: str = "append",
+    trigger: dict | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Give each micro-batch of one stream to several sinks; the input is read once, and its result computed once.
+
+    A batch is done when all have taken it. After a failure it runs again, so each of ``writes`` must be
+    such that a batch written twice stands there once, as with `ResultTable.write` and `replace_parts`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist() if len(writes) > 1 else batch
+        try:
+            for each in writes:
+                each(held, batch_id)
+        finally:
+            if len(writes) > 1:
+                held.unpersist()
+
+    return _named(df.writeStream.outputMode(mode).trigger(**(trigger or ONCE)), name).option(
+        "checkpointLocation", checkpoint
+    ).foreachBatch(write).start()
+
+
+def _named(writer, name: str | None):
+    return writer.queryName(name) if name else writer
+
+
+def start_view(
+    df: DataFrame, checkpoint: str, mode: str = "complete", trigger: dict | None = None, name: str | None = None
+) -> tuple[StreamingQuery, str]:
+    """Keep a small result in the driver's memory, as a view under the name returned: Spark's memory sink.
+
+    For a few rows that are looked at while the stream runs; a result that grows belongs in a table.
+    """
+    name = name or f"result_{uuid.uuid4().hex}"
+    writer = df.writeStream.outputMode(mode).trigger(**(trigger or ONCE)).format("memory").queryName(name)
+    return writer.option("checkpointLocation", checkpoint).start(), name
+
+
+def start_with_static(
+    df: DataFrame,
+    static: Callable[[], DataFrame],
+    join: Callable[[DataFrame, DataFrame], DataFrame],
+    folder: str,
+    mode: str,
+    keys: list[str] | None = None,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, ResultTable]:
+    """Join each micro-batch of a stream's result to a static side that may change while the stream runs.
+
+    ``static`` is called for every batch, so files that were added since the last one are seen. A frame
+    given to a stream's own plan keeps the list of files it was defined with.
+    """
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the keys of the result")
+    table = ResultTable(df.sparkSession, f"{folder}/result", join(df, static()).schema, mode, keys or [])
+    write = lambda batch, batch_id: table.write(join(batch, static()), batch_id)
+    return start_fan_out(df, [write], f"{folder}/checkpoint", mode, trigger), table
 
 
 def start_files(
-    df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, format: str = "parquet", **options
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    format: str = "parquet",
+    name: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """Append a stream to files through Spark's own exactly-once file sink."""
-    writer = df.writeStream.outputMode("append").trigger(**(trigger or ONCE)).format(format).options(**options)
-    return writer.option("path", path).option("checkpointLocation", checkpoint).start()
+    writer = _named(df.writeStream.outputMode("append").trigger(**(trigger or ONCE)), name).format(format)
+    return writer.options(**options).option("path", path).option("checkpointLocation", checkpoint).start()
 
 
 def wait_for_all(*streams: StreamingQuery) -> None:
@@ -209,15 +257,3 @@ def run_to_table(
     stream, table = start_table(df, folder, mode, keys, checkpoint=checkpoint)
     wait_for_all(stream)
     return table.read()
-
-
-def rows_dropped_late(rows: DataFrame, result: DataFrame, time: str, name: str = "count") -> DataFrame:
-    """How many rows came after their window was closed, as one row ``late``.
-
-    ``rows`` are all rows that the stream was given, as a batch, and ``result`` its windowed counts in
-    update mode. A row is counted once or dropped, so what is missing in the counts was late.
-    Rows without a time have no window and are not late.
-    """
-    given = rows.agg(F.count(time).alias("given"))
-    counted = result.agg(F.coalesce(F.sum(name), F.lit(0)).alias("counted"))
-    return given.join(counted).select((F.col("given") - F.col("counted")).alias("late"))

@@ -14,6 +14,12 @@ def as_messages(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value"))
 
 
+def send(messages: DataFrame, servers: str, topic: str) -> None:
+    """Write a batch of messages to a topic; needs the Kafka connector on the cluster. A topic keeps what a batch sent
+    before it failed, so its readers meet a message at least once."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def start_topic(
     messages: DataFrame, servers: str, topic: str, checkpoint: str, mode: str = "complete", trigger: dict | None = None
 ) -> StreamingQuery:
