@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.llm.common import LOWER, UPPER, lower_ascii, stored
-from tallybrook.session import work_folder
+from tallybrook.session import session_settings, work_folder
 from tallybrook.streaming.inputs import table_stream
 from tallybrook.streaming.results import ONCE, stream_settings, wait_for_all
 
@@ -19,6 +19,8 @@ BATCH_BYTES = 1 << 38
 # A digest is hot if it has more than one row in so many; so no more digests than this can be hot.
 HOT_SHARE = 1000
 
+# A store asks for disk as its state grows, not for some MB in advance; there may be many stores on a node.
+STORE = {"spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 STATE = "digest binary, doc_id long, file string, row long, n long"
 
 
@@ -63,7 +65,7 @@ def take_in(
     sum up before anything moves, so copies of one text are a row per task. Started again, the
     stream goes on with new files only.
     """
-    with stream_settings(spark):
+    with stream_settings(spark), session_settings(spark, STORE):
         rows = located(table_stream(spark, path, None, max_bytes, ["doc_id", "text"]), digest)
         held = rows.groupBy("digest").agg(last_row(), F.count("*").alias("n"))
         writer = held.writeStream.outputMode("update").format("noop").trigger(**ONCE)
