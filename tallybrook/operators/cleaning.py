@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,3 +59,20 @@ def accepted(conformed: DataFrame, rejects: str = "_rejects", raw: str = "_raw")
 
 def rejected(conformed: DataFrame, rejects: str = "_rejects") -> DataFrame:
     return conformed.where(F.size(rejects) > 0)
+
+
+VERDICT = "verdict"
+
+
+def write_by_verdict(conformed: DataFrame, path: str, rejects: str = "_rejects", raw: str = "_raw") -> dict[str, int]:
+    """Write accepted and rejected rows of `conform` to two folders in one pass, and count both on the way.
+
+    The folders are ``verdict=accepted`` and ``verdict=rejected``; rows go where they are, without a shuffle. Rows as
+    they were loaded are kept for the rejected only. The counts are those of the job that wrote.
+    """
+    seen, good = Observation(), F.size(rejects) == 0
+    rows = conformed.withColumn(VERDICT, F.when(good, "accepted").otherwise("rejected"))
+    rows = rows.withColumn(raw, F.when(~good, F.col(raw)))
+    counted = rows.observe(seen, F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"))
+    counted.write.partitionBy(VERDICT).parquet(path)
+    return dict(seen.get)

@@ -99,16 +99,23 @@ def reduce_by_key(
     return met.mapInArrow(in_key_order, source.schema).drop("_all")
 
 
-def values_per_key(df: DataFrame, keys: list[str], value: str, name: str = "vals", parts: int = 1) -> DataFrame:
-    """Sorted array of a key's distinct values.
+# Values of an array of `values_per_key`, on average at most.
+ARRAY_VALUES = 10_000
 
-    Distinct pairs are formed before anything is collected, so copies never reach the array.
-    A key without values has an empty array. Where a key may have very many values, ``parts``
-    cuts its array over as many rows, numbered in a column ``part``.
+
+def values_per_key(df: DataFrame, keys: list[str], value: str, name: str = "vals", values: int = ARRAY_VALUES) -> DataFrame:
+    """Sorted arrays of a key's distinct values, numbered from 0 in a column ``part``.
+
+    Distinct pairs are formed before anything is collected, so copies never reach an array. Most keys have one
+    array; one of more than ``values`` distinct values has its values dealt to as many arrays as it takes, by
+    hash, so no array grows with the data. A key without values has an empty array.
     """
     pairs = df.select(*keys, value).distinct()
-    grouping = list(keys)
-    if parts > 1:
-        pairs = pairs.withColumn("part", F.pmod(F.xxhash64(value), F.lit(parts)).cast("int"))
-        grouping.append("part")
-    return pairs.groupBy(*grouping).agg(F.array_sort(F.collect_list(value)).alias(name))
+    sizes = pairs.groupBy(*keys).agg(F.greatest(F.ceil(F.count(value) / values), F.lit(1)).alias("_parts"))
+    sizes = sizes.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_parts")
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    met = pairs.join(sizes, same).drop(*[f"_key{i}" for i in range(len(keys))])
+    # A null adds nothing to an array, so it joins the first one.
+    hashed = F.when(F.col(value).isNull(), 0).otherwise(F.pmod(F.xxhash64(value), F.col("_parts")))
+    dealt = met.withColumn("part", hashed.cast("int")).drop("_parts")
+    return dealt.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(value)).alias(name))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +17,12 @@ from pyspark.sql import types as T
 from tallybrook.functions.text import SPACE_OR_NEWLINE, line_rows, word_rows
 from tallybrook.functions.values import event_time, number_label
 from tallybrook.operators import cleaning, counting, grouping, joins, mapping, ordering, shaping
-from tallybrook.operators.profile import profile
+from tallybrook.operators.profile import merged_profile, profile, profile_sketches
 from tallybrook.plans import lottery, staff, streams, words
 from tallybrook.session import session_settings, work_folder
 from tallybrook.sources import catalog, files
 from tallybrook.streaming import events, inputs, results, topics
-from tallybrook.streaming.metrics import BatchMetrics, rows_dropped_late
+from tallybrook.streaming.metrics import BatchMetrics, rows_dropped_late, state_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,6 +195,15 @@ def join_inner(spark, sf_dir):
     return joins.equi_join(all_orders(spark, sf_dir), customers(spark, sf_dir), "c_custkey")
 
 
+@query
+def join_by_key(spark, sf_dir):
+    """Both tables stored by key first, so the join itself shuffles nothing."""
+    names = [fresh_name("orders"), fresh_name("customers")]
+    for name, table in zip(names, (all_orders(spark, sf_dir), customers(spark, sf_dir)), strict=True):
+        catalog.save_by_key(table, name, work_folder(spark, name), ["c_custkey"], 8)
+    return joins.equi_join(*[catalog.catalog_table(spark, name) for name in names], "c_custkey")
+
+
 @query
 def join_left(spark, sf_dir):
     return joins.equi_join(customers(spark, sf_dir), all_orders(spark, sf_dir), "c_custkey", "left", "right", SALTS)
@@ -336,7 +345,7 @@ def repartition_write(spark, sf_dir):
 def explode_array(spark, sf_dir):
     orders = load(spark, sf_dir, "orders")
     lists = counting.values_per_key(orders, ["o_custkey"], "o_orderpriority", "priorities")
-    return shaping.unfold(lists, "priorities", "priority")
+    return shaping.unfold(lists.drop("part"), "priorities", "priority")
 
 
 @query
@@ -397,6 +406,32 @@ def rounded_profile(df: DataFrame) -> DataFrame:
     return table.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
+@query
+def profile_merged(spark, sf_dir):
+    """The profile of a table that came in two batches, from the sketches stored of each.
+
+    The distinct values of a key column are estimated, so they are not shown.
+    """
+    folder = work_folder(spark, "profile_sketches")
+    people = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    for batch in range(2):
+        described = profile_sketches(people.where(F.col("c_custkey") % 2 == batch))
+        results.replace_parts(described.withColumn("batch", F.lit(batch)), folder, "batch")
+    table = merged_profile(spark.read.parquet(folder))
+    estimated = F.when(F.col("column_name") != "c_custkey", F.col("distinct_count"))
+    return table.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")}).withColumn("distinct_count", estimated)
+
+
+@query
+def conform_written(spark, sf_dir):
+    """Accepted and rejected rows written in one pass: how many were counted on the way, and how many are there."""
+    folder = work_folder(spark, "conform_written")
+    counts = cleaning.write_by_verdict(cleaning.conform(rough_orders(spark, sf_dir), ORDER_SCHEMA), folder)
+    seen = spark.createDataFrame(list(counts.items()), "verdict string, observed long")
+    written = counting.count_by(spark.read.parquet(folder), "verdict", name="written")
+    return seen.join(written, "verdict")
+
+
 @query
 def preview_and_profile(spark, sf_dir):
     """The first customers by key, each beside the profile of the column that orders them."""
@@ -713,6 +748,51 @@ def stream_stream(spark, sf_dir):
         return results.run_to_table(zoneless(pairs), folder, "append")
 
 
+def arrivals_by_day(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[str]:
+    """The events of the first day as files in a folder, then those of the other days beside them."""
+    rows = load(spark, sf_dir, "events")
+    day = event_time(rows, "ts").cast("date")
+    first = F.broadcast(rows.agg(F.min(day).alias("first")))
+    for later in (False, True):
+        part = rows.join(first, day > F.col("first") if later else day == F.col("first")).drop("first")
+        part.write.mode("append").parquet(folder)
+        yield folder
+
+
+@query
+def stream_static_fresh(spark, sf_dir):
+    """Profiles that become more between two arrivals of events; each micro-batch sees those there are."""
+    folder = work_folder(spark, "stream_static_fresh")
+    profiles = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    known = lambda: spark.read.schema(profiles.schema).parquet(f"{folder}/profiles")
+    join = lambda batch, side: joins.with_attributes(batch, side, "user_id", "c_custkey")
+    with results.stream_settings(spark):
+        for odd, _ in enumerate(arrivals_by_day(spark, sf_dir, f"{folder}/events")):
+            profiles.where(F.col("c_custkey") % 2 == odd).write.mode("append").parquet(f"{folder}/profiles")
+            rows = inputs.with_event_time(inputs.table_stream(spark, f"{folder}/events"), "ts")
+            counts = events.flat_windows(events.windowed_count(rows, "ts", ["user_id", "event_type"], "1 hour", "30 minutes"))
+            keys = [*WINDOW_KEYS, "user_id", "event_type"]
+            running, table = results.start_with_static(counts, known, join, folder, "update", keys)
+            results.wait_for_all(running)
+    return table.read()
+
+
+@query
+def join_state(spark, sf_dir):
+    """How many rows a join of two streams keeps after the first day, and after a restart with the other days."""
+    folder, found = work_folder(spark, "join_state"), []
+    with results.stream_settings(spark):
+        for run, _ in enumerate(arrivals_by_day(spark, sf_dir, f"{folder}/events"), 1):
+            clicks, _ = clicks_and_views(inputs.table_stream(spark, f"{folder}/events"))
+            _, views = clicks_and_views(inputs.table_stream(spark, f"{folder}/events"))
+            pairs = streams.actions_after_posting(clicks, views, "user_id", "view_user", "click_ts", "view_ts", salts=2)
+            results.run_to_table(zoneless(pairs), folder, "append")
+            for side in ("left", "right"):
+                kept = state_rows(spark, f"{folder}/checkpoint", joinSide=side)
+                found.append((run, side, kept.count()))
+    return spark.createDataFrame(found, "run int, side string, kept long")
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.as_envelope(stream(spark, sf_dir, "events"), "usage", "event_type", "value", "event_id", "ts")
 

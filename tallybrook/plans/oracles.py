@@ -20,18 +20,20 @@ def windows(width: str, *, table: str = "events", where: str = "true") -> str:
       from {table} where {where} group by all"""
 
 
-def profile_of(table: str, columns: dict[str, str]) -> str:
-    """One select per column; the types are Spark's names for them."""
+def profile_of(table: str, columns: dict[str, str], estimated: str | None = None) -> str:
+    """One select per column; the types are Spark's names for them. Of an estimated column no distinct values are counted."""
     selects = []
     for column, kind in columns.items():
         numeric = kind != "string"
         mean = f"round(avg(cast({column} as double)), 4)" if numeric else "cast(null as double)"
         dev = f"round(stddev_samp(cast({column} as double)), 4)" if numeric else "cast(null as double)"
+        quarters = [f"quantile_disc(cast({column} as double), {q / 100})" if numeric else "cast(null as double)" for q in (25, 50, 75)]
         selects.append(
             f"""select '{column}' as column_name, '{kind}' as data_type, true as nullable,
             count(*) as row_count, count(*) - count({column}) as null_count,
-            count(distinct {column}) as distinct_count, cast(min({column}) as varchar) as min_value,
-            cast(max({column}) as varchar) as max_value, {mean} as mean, {dev} as stddev from {table}"""
+            {"cast(null as bigint)" if column == estimated else f"count(distinct {column})"} as distinct_count, cast(min({column}) as varchar) as min_value,
+            cast(max({column}) as varchar) as max_value, {mean} as mean, {dev} as stddev,
+            {quarters[0]} as q25, {quarters[1]} as q50, {quarters[2]} as q75 from {table}"""
         )
     return " union all ".join(selects)
 
@@ -106,6 +108,8 @@ ORACLES: dict[str, str] = {
     "composite_counts": "select user_id, event_type, count(*) as cnt from events group by all",
     "join_inner": """select c_custkey, o_orderkey, o_totalprice, c_name from orders
       join customer on c_custkey = o_custkey""",
+    "join_by_key": """select c_custkey, o_orderkey, o_totalprice, c_name from orders
+      join customer on c_custkey = o_custkey""",
     "join_left": """select c_custkey, c_name, o_orderkey, o_totalprice from customer
       left join orders on o_custkey = c_custkey""",
     "join_right": "select d.doc_id, quality, toxic, lang, source from labels l right join documents d on l.doc_id = d.doc_id",
@@ -144,6 +148,10 @@ ORACLES: dict[str, str] = {
       from {ROUGH} where try_cast(o_totalprice as double) is null""",
     "profile_customer": profile_of("customer", {"c_custkey": "bigint", "c_acctbal": "double", "c_mktsegment": "string"}),
     "profile_labelled": profile_of(LABELLED, {"doc_id": "bigint", "source": "string", "quality": "int"}),
+    "profile_merged": profile_of("customer", {"c_custkey": "bigint", "c_nationkey": "int", "c_mktsegment": "string"}, "c_custkey"),
+    "conform_written": f"""select verdict, count(*) as observed, count(*) as written from
+      (select case when try_cast(o_totalprice as double) is null then 'rejected' else 'accepted' end as verdict from {ROUGH})
+      group by verdict""",
     "preview_and_profile": """select * from (select c_custkey, c_acctbal, c_mktsegment from customer order by c_custkey limit 5),
       (select count(*) as row_count, count(*) - count(c_acctbal) as null_count, count(distinct c_acctbal) as distinct_count,
        round(avg(c_acctbal), 4) as mean, round(stddev_samp(c_acctbal), 4) as stddev from customer)""",
@@ -195,7 +203,19 @@ ORACLES: dict[str, str] = {
     "stream_static": """select time_bucket(interval 1 hour, ts) as window_start,
       time_bucket(interval 1 hour, ts) + interval 1 hour as window_end, user_id, event_type, count(*) as count,
       c_custkey, c_name, c_mktsegment from events join customer on c_custkey = user_id group by all""",
+    "stream_static_fresh": """with first as (select min(ts::date) as first from events)
+      select time_bucket(interval 1 hour, ts) as window_start, time_bucket(interval 1 hour, ts) + interval 1 hour as window_end,
+      user_id, event_type, count(*) as count, c_custkey, c_name, c_mktsegment
+      from events join customer on c_custkey = user_id, first where c_custkey % 2 = 0 or ts::date > first group by all""",
     "stream_stream": INTERVAL_PAIRS,
+    "join_state": """with first as (select min(ts::date) as first from events),
+      runs as (select 1 as run, event_type, ts from events, first where ts::date = first union all select 2, event_type, ts from events),
+      marks as (select run, least(max(ts) filter (event_type = 'click') - interval 1 hour,
+                                  max(ts) filter (event_type = 'view') - interval 5 minute) as mark from runs group by run)
+      select run, 'left' as side, count(*) as kept from runs join marks using (run)
+        where event_type = 'click' and ts > mark group by run
+      union all select run, 'right', 4 * count(*) from runs join marks using (run)
+        where event_type = 'view' and ts + interval 1 hour > mark group by run""",
     "keyed_avg": """select event_type as client,
       round(cast(sum(cast(value as decimal(18,2))) as double) / count(value), 6) as average_value
       from events group by event_type""",

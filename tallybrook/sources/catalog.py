@@ -23,6 +23,18 @@ def save_catalog_table(df: DataFrame, name: str, path: str, mode: str = "errorif
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
+def save_by_key(
+    df: DataFrame, name: str, path: str, keys: list[str], buckets: int, mode: str = "errorifexists"
+) -> None:
+    """Store a table in ``buckets`` by hash of its keys, each a sorted file.
+
+    Tables stored alike are joined and grouped by these keys without a shuffle, as often as they are read. Choose so
+    many buckets that one fits a task; a key that holds much more than a bucket's share makes its bucket as large.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+
+
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallybrook.functions.values import mask_number, mask_salted, number_label
 from tallybrook.operators import cleaning, counting, grouping, mapping, ordering, shaping
-from tallybrook.operators.profile import profile
+from tallybrook.operators.profile import QUARTER_NAMES, QUARTERS, merged_profile, profile, profile_sketches
 from tallybrook.plans.lottery import multiplier_distribution
 from tallybrook.plans.staff import masked_records, pay_by_group
 
@@ -195,11 +195,12 @@ def test_text_to_items(spark, rows):
 
 def test_values_per_key(spark, rows):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None), (3, "c")], "k int, v string")
-    assert rows(counting.values_per_key(df, ["k"], "v")) == [(1, ["a", "b"]), (2, []), (3, ["c"])]
-    many = spark.range(100).selectExpr("0 as k", "id as v")
-    parted = counting.values_per_key(many, ["k"], "v", parts=4)
-    assert parted.count() == 4
-    assert sorted(v for r in parted.collect() for v in r["vals"]) == list(range(100))
+    assert rows(counting.values_per_key(df, ["k"], "v")) == [(1, 0, ["a", "b"]), (2, 0, []), (3, 0, ["c"])]
+    many = spark.range(100).selectExpr("nullif(id % 2, 1) as k", "id as v").union(spark.sql("select 7L, 1L union all select 7L, null"))
+    parted = counting.values_per_key(many, ["k"], "v", values=13).collect()
+    assert Counter(r["k"] for r in parted) == {0: 4, None: 4, 7: 1}
+    assert sorted(v for r in parted if r["k"] != 7 for v in r["vals"]) == list(range(100))
+    assert all(r["vals"] == sorted(r["vals"]) for r in parted) and [r["vals"] for r in parted if r["k"] == 7] == [[1]]
 
 
 def test_reduce_by_key(spark, rows):
@@ -254,6 +255,76 @@ def test_profile(spark, exact):
     assert table["x"]["distinct_count"] == 2 and table["l"]["distinct_count"] == 2
 
 
+def numbers(spark, n):
+    """Skewed numbers, some missing, and the sorted ones that are there."""
+    r = random.Random(n)
+    values = [None if r.random() < 0.1 else round(r.lognormvariate(3, 2), 3) for _ in range(n)]
+    frame = spark.createDataFrame([(i, v, None if v is None else f"t{int(v) % 900}") for i, v in enumerate(values)], "i long, x double, s string")
+    return frame.repartition(5), sorted(v for v in values if v is not None)
+
+
+def rank_off(ordered, value, share):
+    """How far a value's ranks are from a share of all, as a share of all."""
+    import bisect
+
+    low, high, at = bisect.bisect_left(ordered, value), bisect.bisect_right(ordered, value), share * len(ordered)
+    return max(0, low - at, at - high) / len(ordered)
+
+
+def test_quartiles_keep_their_rank_error(spark):
+    frame, ordered = numbers(spark, 30_000)
+    for error in (1e-4, 0.01):
+        row = {r["column_name"]: r for r in profile(frame, rank_error=error).collect()}
+        for name, share in zip(QUARTER_NAMES, QUARTERS, strict=True):
+            assert rank_off(ordered, row["x"][name], share) <= error + 1 / len(ordered)
+            assert row["s"][name] is None
+
+
+def test_a_profile_merged_from_batches_is_that_of_all_rows(spark, tmp_path, plan):
+    frame, ordered = numbers(spark, 20_000)
+    whole = merged_profile(profile_sketches(frame)).collect()
+    parts = [frame.where("i < 1000"), frame.where("i between 1000 and 14999"), frame.where("i >= 15000"), frame.limit(0)]
+    for k, part in enumerate(parts):
+        profile_sketches(part).write.parquet(str(tmp_path / f"b={k}"))
+    stored = spark.read.parquet(str(tmp_path))
+    assert stored.count() == 12
+    merged = merged_profile(stored)
+    exact = {r["column_name"]: r for r in profile(frame, ["i", "x", "s"]).collect()}
+    for a, b in zip(whole, merged.collect(), strict=True):
+        c = exact[a["column_name"]]
+        for field in ("data_type", "nullable", "row_count", "null_count", "min_value", "max_value"):
+            assert a[field] == b[field] == c[field]
+        assert a["distinct_count"] == b["distinct_count"] and abs(b["distinct_count"] / c["distinct_count"] - 1) < 0.05
+        for field in ("mean", "stddev"):
+            assert b[field] is c[field] is None or b[field] == pytest.approx(c[field], rel=1e-9)
+    x = merged.where("column_name = 'x'").first()
+    assert all(rank_off(ordered, x[q], p) < 0.002 for q, p in zip(QUARTER_NAMES, QUARTERS, strict=True))
+
+
+def test_no_rows_and_lone_kinds_have_a_merged_profile(spark):
+    frame = spark.sql("select 1 a, map('k', 1) m, array(2) l, cast(null as double) n, 12345678901234567890123.45BD d, X'01' b, 'NaN'::double x")
+    got = {r["column_name"]: r for r in merged_profile(profile_sketches(frame)).collect()}
+    assert got["m"]["min_value"] is None and got["n"]["null_count"] == 1 and got["a"]["stddev"] is None
+    assert merged_profile(profile_sketches(frame.limit(0))).where("row_count = 0 and distinct_count = 0").count() == 7
+
+
+def test_verdicts_are_written_and_counted_in_one_pass(spark, tmp_path, rows):
+    schema = T.StructType([T.StructField("n", T.IntegerType(), False)])
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    loaded = spark.createDataFrame([("1",), ("x",), (None,), ("4",), ("5",)], "n string").mapInArrow(seen, "n string")
+    counts = cleaning.write_by_verdict(cleaning.conform(loaded, schema), str(tmp_path / "t"))
+    assert counts == {"accepted": 3, "rejected": 2} and reads.value == 5
+    written = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(written.where("verdict = 'accepted'").select("n", "_raw")) == [(1, None), (4, None), (5, None)]
+    assert rows(written.where("verdict = 'rejected'").select("_raw.n")) == [(None,), ("x",)]
+
+
 def test_profile_of_no_rows(spark):
     df = spark.createDataFrame([], "i int, s string")
     assert [(r["row_count"], r["distinct_count"]) for r in profile(df).collect()] == [(0, 0), (0, 0)]
@@ -302,6 +373,6 @@ def test_writer_per_task(spark, tmp_path):
 def test_keys_without_values_stay(spark, rows):
     df = spark.createDataFrame([(1, 5.0), (1, 2.0), (2, None), (3, None), (3, 7.0)], "k int, v double")
     assert rows(counting.reduce_by_key(df, ["k"], "v", lambda s: s.max())) == [(1, 5.0), (2, None), (3, 7.0)]
-    assert rows(counting.values_per_key(df, ["k"], "v")) == [(1, [2.0, 5.0]), (2, []), (3, [7.0])]
+    assert rows(counting.values_per_key(df, ["k"], "v")) == [(1, 0, [2.0, 5.0]), (2, 0, []), (3, 0, [7.0])]
     assert rows(counting.reduce_by_key(df.where("k = 2"), [], "v", lambda s: s.max())) == [(None,)]
     assert rows(counting.reduce_by_key(df.limit(0), [], "v", lambda s: s.max())) == []

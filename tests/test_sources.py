@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
+from tallybrook.operators.joins import equi_join
 from tallybrook.session import work_folder
 from tallybrook.sources import catalog, files
 from tallybrook.sources.jdbc import Ranges, jdbc_options
@@ -148,3 +149,22 @@ def test_database_options_that_would_not_work():
 def test_topic_messages(spark, rows):
     df = spark.createDataFrame([("a", 1.5)], "k string, v double")
     assert rows(as_messages(df, "k", "v")) == [("a", "1.5")]
+
+
+def test_tables_stored_by_key_are_joined_and_grouped_without_a_shuffle(spark, tmp_path, rows, plan):
+    left = spark.range(2000).selectExpr("id % 300 as k", "id as a")
+    right = spark.range(250).selectExpr("id as k", "id * 2 as b")
+    for name, table in (("by_key_l", left), ("by_key_r", right)):
+        catalog.save_by_key(table, name, str(tmp_path / name), ["k"], 6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = equi_join(catalog.catalog_table(spark, "by_key_l"), catalog.catalog_table(spark, "by_key_r"), "k")
+        sums = both.groupBy("k").count()
+        plain = equi_join(left, right, "k")
+        assert "Exchange" not in plan(sums) and "SortMergeJoin" in plan(sums) and "Exchange" in plan(plain)
+        assert rows(both) == rows(plain)
+        assert len(list((tmp_path / "by_key_l").glob("part-*.parquet"))) == 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("by_key_l", "by_key_r"):
+            spark.sql(f"drop table {name}")
