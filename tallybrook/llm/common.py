@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 from itertools import chain
 
 import numpy as np
@@ -24,8 +26,11 @@ LATIN = r"A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
 
 # Text handled at once inside a task.
 SLICE_BYTES = 4 << 20
-# Distinct words whose token ids a task remembers.
-MEMO_WORDS = 500_000
+# Distinct words whose token ids a worker remembers.
+MEMO_WORDS = 300_000
+# Bytes of rows that Spark hands to Python at once, unless the session says otherwise.
+ARROW_BYTES = 8 << 20
+ARROW_SETTING, ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,6 +49,63 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system; Spark keeps its Python workers for later tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc(), "malloc_trim"):
+        libc().malloc_trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand ``ARROW_BYTES`` to Python at once: documents are long, and the default is 64 MB for each task."""
+    if spark.conf.get(ARROW_SETTING) == ARROW_DEFAULT:
+        spark.conf.set(ARROW_SETTING, str(ARROW_BYTES))
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` over small batches, whose memory the worker gives back when a task ends."""
+    small_batches(df.sparkSession)
+
+    @wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
+
+
+def text_function(spark: SparkSession, make: Callable[[], Callable[[pa.Array], pa.Array]], kind: str) -> Callable[[Column], Column]:
+    """A function of text columns: ``make`` is called once per task and gives what turns texts into values.
+
+    Only the text goes to Python and only the value comes back; the rest of the row stays where it is.
+    """
+    small_batches(spark)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        function = make()
+        try:
+            for text in batches:
+                parts = [function(part) for _, part in slices(text, text)]
+                yield pa.concat_arrays(parts) if parts else function(text)
+        finally:
+            del function
+            release()
+
+    # Named by hand, as the annotations are text in this module.
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, kind).asNondeterministic()
+
+
 def rows_held(df: DataFrame) -> DataFrame:
     """All columns in one struct ``row``, so that no added column can clash with them."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
@@ -80,6 +142,12 @@ def coded_words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
 
 
+def ascending(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; sorting beats hashing for whole numbers."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... of each run, one run after another."""
     before = np.cumsum(lengths) - lengths
@@ -92,6 +160,12 @@ def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@cache
+def tokenizer_for(path: str) -> WordTokenizer:
+    """The worker's own tokenizer of a vocabulary, loaded once and with what earlier tasks have learned."""
+    return WordTokenizer(path)
+
+
 class WordTokenizer:
     """Token ids of whole texts, made by encoding each distinct word once.
 

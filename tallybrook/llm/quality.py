@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import coded_words, rows_held, slices
+from tallybrook.llm.common import coded_words, rows_held, stored, text_function
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
@@ -91,19 +91,14 @@ def quality_counts(docs: DataFrame) -> DataFrame:
     """(row, counts): each document with what the rules look at, over its whole text.
 
     ``docs`` needs ``text``; all columns stay inside ``row``. A null text counts as empty;
-    repeated rows are documents of their own.
+    repeated rows are documents of their own; an empty table gives an empty one.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = pc.struct_field(batch.column("row"), "text")
-            for part, own in slices(batch, text):
-                counts = pa.StructArray.from_arrays([pa.array(x) for x in text_counts(own)], names=list(COUNTS))
-                yield pa.RecordBatch.from_arrays([part.column("row"), counts], names=["row", "counts"])
+    def make() -> Callable[[pa.Array], pa.Array]:
+        return lambda text: pa.StructArray.from_arrays([pa.array(x) for x in text_counts(text)], names=list(COUNTS))
 
-    held = rows_held(docs)
-    kind = held.schema["row"].dataType.simpleString()
-    return held.mapInArrow(count, f"row {kind}, counts struct<{', '.join(f'{c}: long' for c in COUNTS)}>")
+    counts = text_function(docs.sparkSession, make, f"struct<{', '.join(f'{c}: long' for c in COUNTS)}>")
+    return rows_held(docs).select("row", counts(F.col("row.text").cast("string")).alias("counts"))
 
 
 def base_failed(c: Column) -> Column:
@@ -200,7 +195,8 @@ def judged(counted: DataFrame, fitted_on: DataFrame | None = None, keep_from: fl
 
     The votes of all documents of ``fitted_on`` (the same rows by default) are counted by
     pattern; these counts, 3 to the number of rules at most, are what the driver fits.
-    A text that fails the base rules is not kept, whatever its votes.
+    A text that fails the base rules is not kept, whatever its votes. Without rows there is nothing to
+    fit, and no result.
     """
     source = counted if fitted_on is None else fitted_on
     found = source.select(votes(F.col("counts")).alias("pattern")).groupBy("pattern").count().collect()
@@ -214,6 +210,9 @@ def judged(counted: DataFrame, fitted_on: DataFrame | None = None, keep_from: fl
 
 
 def keep_good(docs: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
-    """The documents of good quality, with their columns as they came."""
-    fitted_on = quality_counts(docs.select("text"))
-    return judged(quality_counts(docs), fitted_on, keep_from).where("kept").select("row.*")
+    """The documents of good quality, with their columns as they came.
+
+    Texts are counted once, into a table in the shared folder. Null and empty texts fail; repeated rows are judged each
+    alike and all kept or none; without documents there is no result.
+    """
+    return judged(stored(quality_counts(docs), "quality"), keep_from=keep_from).where("kept").select("row.*")
