@@ -44,8 +44,13 @@ def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return inputs.table_stream(spark, f"{sf_dir}/{table}.parquet")
 
 
+# Tasks that texts are dealt to before they are parted into words; for files of fewer row groups than cores.
+TEXT_PARTS: int | None = None
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").select("text")
+    rows = load(spark, sf_dir, "documents").select("text")
+    return shaping.repartition(rows, TEXT_PARTS) if TEXT_PARTS else rows
 
 
 # --- words -------------------------------------------------------------------------------
