@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import SPACES, coded_words, lower_ascii, rows_held, slices, stored
+from tallybrook.llm.common import SPACES, coded_words, lower_ascii, map_batches, rows_held, slices, stored
 
 SHINGLE = 5
 SIMILARITY = 80
@@ -148,7 +148,7 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long"), same_words(F.col("text")).alias("node"), F.col("text").cast("string")
     )
-    return rows.mapInArrow(sketch, "doc_id long, node long, n long, registers binary")
+    return map_batches(rows, sketch, "doc_id long, node long, n long, registers binary")
 
 
 def shuffled(df: DataFrame) -> DataFrame:
@@ -174,9 +174,8 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
         classes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("registers").alias(f"{c}_registers"))
         for c in "xy"
     )
-    return pairs.join(shuffled(x), "x").join(shuffled(y), "y").select("x", "y", "x_n", "y_n", "x_registers", "y_registers").mapInArrow(
-        select, "x long, y long"
-    )
+    met = pairs.join(shuffled(x), "x").join(shuffled(y), "y")
+    return map_batches(met.select("x", "y", "x_n", "y_n", "x_registers", "y_registers"), select, "x long, y long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -196,7 +195,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
     met = pairs.join(shuffled(texts.select(F.col("node").alias("x"), F.col("text").alias("x_text"))), "x")
     met = met.join(shuffled(texts.select(F.col("node").alias("y"), F.col("text").alias("y_text"))), "y")
-    return met.select("x", "y", "x_text", "y_text").mapInArrow(confirm, "x long, y long")
+    return map_batches(met.select("x", "y", "x_text", "y_text"), confirm, "x long, y long")
 
 
 def enough(common: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
@@ -236,19 +235,39 @@ def block_pairs(members: DataFrame) -> DataFrame:
 
     ``members`` has a hub's neighbours and itself, marked as in its component or in the ``rest``; those
     in its component need not be compared with each other. Blocks are dealt by hash and bounded
-    in members and text, so a hub of any size is spread over many rows.
+    in members and text. The pairs of blocks are written out from the hub's number of blocks, and each finds
+    its blocks by hub and number, so a hub of any size is spread over as many tasks as it has blocks.
     """
     volume = F.sum(F.octet_length("text"))
     sizes = members.groupBy("hub", "rest").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(volume / BLOCK_BYTES), F.lit(1)).alias("blocks")
     )
+    sizes = stored(sizes, "hub-sizes")
     numbered = members.join(sizes, ["hub", "rest"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     fields = [x.split()[0] for x in MEMBER.split(", ")]
     blocks = numbered.groupBy("hub", "rest", "block").agg(F.collect_list(F.struct(*fields)).alias("of"))
     blocks = stored(blocks, "blocks")
+    counts = sizes.groupBy("hub").agg(
+        F.max(F.when(F.col("rest"), F.col("blocks"))).alias("open"),
+        F.coalesce(F.max(F.when(~F.col("rest"), F.col("blocks"))), F.lit(0)).alias("core"),
+    )
+    pairs = counts.where("open IS NOT NULL").withColumn("block", F.expr("explode(sequence(0L, open - 1))"))
+    others = F.expr(
+        "concat(transform(sequence(block, open - 1), j -> named_struct('r_rest', true, 'r_block', j)),"
+        " if(core > 0, transform(sequence(0L, core - 1), j -> named_struct('r_rest', false, 'r_block', j)), array()))"
+    )
+    pairs = pairs.select("hub", "block", F.inline(others))
+    # Of two open blocks either may be the right one; by turns, each is so for about half of the others.
+    turned = F.expr("r_rest AND (block + r_block) % 2 = 1")
+    pairs = pairs.select(
+        "hub",
+        "r_rest",
+        F.when(turned, F.col("r_block")).otherwise(F.col("block")).alias("block"),
+        F.when(turned, F.col("block")).otherwise(F.col("r_block")).alias("r_block"),
+    )
     left = blocks.where("rest").select("hub", "block", F.col("of").alias("left"))
     right = blocks.select("hub", F.col("rest").alias("r_rest"), F.col("block").alias("r_block"), F.col("of").alias("right"))
-    met = left.join(right, "hub").where("NOT r_rest OR r_block >= block")
+    met = pairs.join(shuffled(left), ["hub", "block"]).join(shuffled(right), ["hub", "r_rest", "r_block"])
     return met.select("hub", "left", "right", F.expr("r_rest AND r_block = block").alias("same"))
 
 
@@ -290,7 +309,7 @@ def undecided(members: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hubs, nodes)], names=["hub", "node"])
 
     without = members.withColumn("text", F.lit(None).cast("string"))
-    return block_pairs(without).mapInArrow(mark, "hub long, node long").distinct()
+    return map_batches(block_pairs(without), mark, "hub long, node long").distinct()
 
 
 def links_across(members: DataFrame, size: int, percent: int) -> DataFrame:
@@ -327,7 +346,7 @@ def links_across(members: DataFrame, size: int, percent: int) -> DataFrame:
                             ys.append(int(other["node"][q]))
                 yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], names=["x", "y"])
 
-    return block_pairs(members).mapInArrow(link, "x long, y long")
+    return map_batches(block_pairs(members), link, "x long, y long")
 
 
 def sets_of(text: pa.Array, size: int) -> list[np.ndarray]:

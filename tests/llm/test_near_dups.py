@@ -1,11 +1,22 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallybrook.llm.near_dups import components, likely_similar, near_duplicates, one_per_group, set_sketches, shingle_hashes
+from pyspark.sql import functions as F
+
+from tallybrook.llm import near_dups
+from tallybrook.llm.near_dups import (
+    block_pairs,
+    components,
+    likely_similar,
+    near_duplicates,
+    one_per_group,
+    set_sketches,
+    shingle_hashes,
+)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -133,3 +144,30 @@ def test_components_of_chains_and_stars(spark):
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "x long, y long")).collect()}
     assert got == {k: v for k, v in expected.items() if k not in alone}
     assert components(spark.createDataFrame([], "x long, y long")).collect() == []
+
+
+def test_pairs_of_a_large_hub_are_dealt_to_many_tasks_and_complete(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 64)
+    n, core = 2_000, 150
+    rows = [(1, k, k < n, k, 9, b"r", f"t{k}") for k in range(n + core)] + [(2, 5_000, False, 1, 9, b"r", "a"), (2, 5_001, True, 2, 9, b"r", "b")]
+    schema = "hub long, node long, rest boolean, root long, n long, registers binary, text string"
+    pairs = block_pairs(spark.createDataFrame(rows, schema))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        met = pairs.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    seen = set()
+    for x in met:
+        for a in x.left:
+            for b in x.right:
+                if a.node != b.node:
+                    pair = (x.hub, *sorted((a.node, b.node)))
+                    assert x.same or pair not in seen
+                    seen.add(pair)
+    hub = {(1, a, b) for a in range(n) for b in range(a + 1, n + core)}
+    assert seen == hub | {(2, 5_000, 5_001)}
+    tasks = Counter(x.task for x in met if x.hub == 1)
+    assert len(tasks) >= 10 and max(tasks.values()) < 0.5 * sum(tasks.values())
