@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import WordTokenizer, binary_column, slices, spread, stored, vocabulary_file, with_end
+from tallybrook.llm.common import binary_column, map_batches, slices, spread, stored, tokenizer_for, vocabulary_file, with_end
 
 WINDOW = 4096
 END_ID = 2
@@ -38,7 +38,7 @@ def token_pieces(
     path = vocabulary or vocabulary_file()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = tokenizer_for(path)
         task = TaskContext.get().partitionId()
         used = np.zeros(window + 1, np.int64)
         for batch in batches:
@@ -70,7 +70,7 @@ def token_pieces(
                     names=[x.split()[0] for x in PIECES.split(", ")],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), cut, PIECES)
 
 
 def fullest_window(counts: dict[int, int], capacity: int) -> list[tuple[int, int]]:
@@ -177,7 +177,7 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     starts = F.broadcast(starts) if small else starts.hint("shuffle_hash")
     ranked = pieces.join(starts, ["length", "task"]).select(*names, (F.col("base") + F.col("place")).alias("rank"))
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema)
+    return map_batches(ranked, place, schema)
 
 
 def _before():

@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallybrook.llm.common import WordTokenizer, vocabulary_file
-from tallybrook.llm.packing import fullest_window, minimum_slack_plan, pack_documents, padding
+from tallybrook.llm import packing
+from tallybrook.llm.common import WordTokenizer, stored, vocabulary_file
+from tallybrook.llm.packing import fullest_window, minimum_slack_plan, pack, pack_documents, padding, token_pieces
 from tallybrook.llm.token_files import best_fit_decreasing, round_trip, token_matrix
 
 
@@ -134,3 +135,12 @@ def test_rows_of_the_matrix_are_whole_and_padded(documents, texts):
         assert set(np.frombuffer(r.ids, "<u4")[r.n_tokens :].tolist()) <= {9}
     with pytest.raises(ValueError, match="65536"):
         token_matrix(documents(texts), window=1 << 17)
+
+
+def test_pieces_have_the_same_places_when_ranks_are_shuffled(documents, texts, monkeypatch, plan):
+    pieces = stored(token_pieces(documents(texts * 3), window=64), "pieces")
+    places = lambda: sorted((str(r.doc_id), r.start, r.ids_crc32, r.sequence_id, r.offset) for r in pack(pieces, 64).collect())
+    broad = places()
+    monkeypatch.setattr(packing, "BROADCAST_STARTS", 0)
+    assert "ShuffledHashJoin" in plan(pack(pieces, 64))
+    assert places() == broad
