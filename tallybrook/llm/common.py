@@ -84,9 +84,13 @@ def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def text_function(spark: SparkSession, make: Callable[[], Callable[[pa.Array], pa.Array]], kind: str) -> Callable[[Column], Column]:
+def text_function(
+    spark: SparkSession, make: Callable[[], Callable[[pa.Array], pa.Array]], kind: str, limit: int = SLICE_BYTES
+) -> Callable[[Column], Column]:
     """A function of text columns: ``make`` is called once per task and gives what turns texts into values.
 
+    Texts are taken ``limit`` bytes at a time.
+
     Only the text goes to Python and only the value comes back; the rest of the row stays where it is.
     """
     small_batches(spark)
@@ -95,7 +99,7 @@ def text_function(spark: SparkSession, make: Callable[[], Callable[[pa.Array], p
         function = make()
         try:
             for text in batches:
-                parts = [function(part) for _, part in slices(text, text)]
+                parts = [function(part) for _, part in slices(text, text, limit)]
                 yield pa.concat_arrays(parts) if parts else function(text)
         finally:
             del function

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import SPACES, coded_words, rows_held, slices, stored, words_of
+from tallybrook.llm.common import SPACES, ascending, binary_column, coded_words, map_batches, rows_held, slices, stored, text_function, words_of
 from tallybrook.llm.near_dups import same_words
 
 THRESHOLD = 0.3
@@ -21,6 +21,8 @@ THRESHOLD = 0.3
 LABELLED_ROWS = 50_000
 # Features that the classifier keeps at most, those whose texts are most surely toxic.
 FEATURES = 20_000
+# Odd words whose readings a task remembers.
+MEMO_WORDS = 100_000
 # Squared standard errors by which a feature's share of toxic texts is lowered, and the least such share.
 CAUTION, LEAST_SHARE = 12.0, 0.25
 PREFIXES = (3, 4, 5, 6)
@@ -30,8 +32,10 @@ PENALTY, STEPS, RATE = 0.5, 400, 0.3
 # Characters of the model: a-z, the edge of a word, and classes of other letters.
 EDGE, OTHERS = 26, 32
 LETTERS = EDGE + 1 + OTHERS
+# Text whose features are made at once.
+FEATURE_BYTES = 2 << 20
 # Words of a task are summed up when so many have gathered.
-GATHERED = 1_000_000
+GATHERED = 500_000
 
 # Letters that a character may stand for.
 STANDS_FOR = {
@@ -85,7 +89,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         sums = sums.filter(pc.match_substring_regex(sums["word"], r"^\pL+$"))
         return pa.table({"word": sums["word"].cast(pa.string()), "n": sums["n_sum"].cast(pa.int64())})
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, "word string, n long")
+    rows = map_batches(docs.select(F.col("text").cast("string").alias("text")), counted, "word string, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -112,7 +116,7 @@ def letter_model(words: DataFrame) -> np.ndarray:
         found = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(table[found])], names=["trigram", "n"])
 
-    sums = words.mapInArrow(counted, "trigram long, n long").groupBy("trigram").agg(F.sum("n").alias("n")).toPandas()
+    sums = map_batches(words, counted, "trigram long, n long").groupBy("trigram").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(LETTERS**3)
     counts[sums["trigram"].to_numpy(np.int64)] = sums["n"].to_numpy(float)
     counts = counts.reshape(LETTERS, LETTERS, LETTERS)
@@ -203,34 +207,88 @@ def parted(letters: str) -> list[str]:
     return out
 
 
-def plain_words(words: pa.Array, model: np.ndarray | list, memo: dict[str, tuple[str, str]]) -> tuple[pa.Array, pa.Array, pa.Array]:
+def letter_options(word: str) -> list[tuple[str, float, int]]:
+    """The readings of a word of letters: each run of one letter stands for itself or is shortened.
+
+    With each reading go its cost but for letters written twice, and how many of these are read as one.
+    """
+    first = TWICE.search(word)
+    if first and not TWICE.search(word, first.end() - 1):
+        # Most have one letter twice.
+        return [(word, 0.0, 0), (word[: first.start()] + word[first.start() + 1 :], 0.0, 1)]
+    out = [("", 0.0, 0)]
+    for char, run in groupby(word):
+        times = len(list(run))
+        if times == 1:
+            out = [(text + char, cost, twice) for text, cost, twice in out]
+        elif times == 2:
+            out = [(text + c, cost, twice + one) for text, cost, twice in out for c, one in ((char * 2, 0), (char, 1))]
+        else:
+            out = [(text + c, cost + SHORTENED, twice) for text, cost, twice in out for c in (char, char * 2)]
+    return out
+
+
+def letter_readings(words: list[str], model: np.ndarray) -> list[tuple[str, str]]:
+    """What `readings` gives, for many words of letters at once: all their readings are few enough to be written out."""
+    options = [letter_options(word) for word in words]
+    texts, costs, twice = [list(x) for x in zip(*chain.from_iterable(options), strict=True)] or [[], [], []]
+    costs, twice = np.array(costs, float), np.array(twice, float)
+    points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    codes = np.where((points >= 97) & (points <= 122), points - 97, EDGE + 1 + points % OTHERS)
+    end = points == 10
+    codes[end] = EDGE
+    # The two letters before each; the edge before the first of a word.
+    start = np.concatenate([[True], end[:-1]]) if len(end) else end
+    one = np.where(start, EDGE, np.roll(codes, 1))
+    two = np.where(start | np.roll(start, 1), EDGE, np.roll(codes, 2))
+    first = np.flatnonzero(start)
+    if len(first):
+        costs = costs - np.add.reduceat(model[two, one, codes].astype(np.float64), first)
+    lengths = np.fromiter(map(len, options), np.int64, len(options))
+    of = np.repeat(np.arange(len(options)), lengths)
+    before = np.cumsum(lengths) - lengths
+    best = np.lexsort((costs + DOUBLED * twice, of))[before]
+    other = np.lexsort((costs, of))[before]
+    return [(texts[a], texts[b]) for a, b in zip(best.tolist(), other.tolist(), strict=True)]
+
+
+# Runs of several letters in a word whose readings are written out; words with more go through the search.
+RUNS = 5
+LONG_RUN = re.compile(r"(.)\1+", re.DOTALL)
+# What makes a word of letters worth a look: two letters alike, or one for which that is not said here.
+COMMON = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+MAY_BE_TWICE = f"[^{COMMON}]|" + "|".join(f"{c}{c}" for c in COMMON)
+STAND_IN_OR_LETTER = r"\pL|[" + "".join(re.escape(c) for c in STANDS_FOR) + "]"
+
+
+def plain_words(words: pa.Array, model: Model, memo: dict[str, tuple[str, str]]) -> tuple[pa.Array, pa.Array, pa.Array]:
     """Each word lower-cased without the signs around it, what is restored from it, and its other reading."""
     lower = pc.utf8_lower(words)
-    body = pc.replace_substring_regex(lower, r"^[^\pL\pN$@!]+|[^\pL\pN$@]+$", "")
+    body = pc.replace_substring_regex(lower, r"^[^\pL\pN$@!]+|[^\pL\pN$@]+$", "").cast(pa.large_string())
     simple = pc.match_substring_regex(body, r"^\pL*$")
-    # Signs among letters, signs or digits that stand for letters, or two letters alike; the latter of other than a-z are looked for below.
-    stand_in = "[" + "".join(re.escape(c) for c in STANDS_FOR) + "]"
-    twice = pc.match_substring_regex(body, "[^a-z]|" + "|".join(f"{c}{c}" for c in "abcdefghijklmnopqrstuvwxyz"))
-    odd = pc.if_else(simple, twice, pc.match_substring_regex(body, rf"\pL|{stand_in}"))
-    at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-    plain = simple.to_numpy(zero_copy_only=False)[at].tolist()
-    best, other = [], []
-    for word, only_letters in zip(body.take(pa.array(at)).to_pylist(), plain, strict=True):
-        if only_letters and not TWICE.search(word):
-            found = word, word
-        else:
-            found = memo.get(word)
-            if found is None:
-                if len(memo) > 200_000:
-                    memo.clear()
-                found = memo[word] = readings(word, model)
-        best.append(found[0])
-        other.append(found[1])
-    out = body.to_numpy(zero_copy_only=False).copy()
-    out[at] = best
-    more = out.copy()
-    more[at] = other
-    return body, pa.array(out, pa.large_string()), pa.array(more, pa.large_string())
+    # Signs among letters, signs or digits that stand for letters, or two letters alike.
+    odd = pc.if_else(simple, pc.match_substring_regex(body, MAY_BE_TWICE), pc.match_substring_regex(body, STAND_IN_OR_LETTER))
+    found: list[tuple[str, str] | None] = []
+    doubled, places = [], []
+    for k, (word, only_letters) in enumerate(zip(body.filter(odd).to_pylist(), simple.filter(odd).to_pylist(), strict=True)):
+        known = memo.get(word)
+        if known is None:
+            if only_letters and len(LONG_RUN.findall(word)) <= RUNS:
+                doubled.append(word)
+                places.append(k)
+            else:
+                known = memo[word] = readings(word, model.nested)
+        found.append(known)
+    for k, word, both in zip(places, doubled, letter_readings(doubled, model.table), strict=True):
+        found[k] = memo[word] = both
+    if len(memo) > MEMO_WORDS:
+        # The words of this part are likeliest to come again.
+        now = set(body.filter(odd).to_pylist())
+        stay = {word: both for word, both in memo.items() if word in now}
+        memo.clear()
+        memo.update(stay if 2 * len(stay) <= MEMO_WORDS else {})
+    best, other = ([both[side] for both in found] for side in (0, 1))
+    return body, *(pc.replace_with_mask(body, odd, pa.array(x, pa.large_string())) for x in (best, other))
 
 
 # Features: a whole word, and its first letters.
@@ -285,22 +343,28 @@ def spaced_hashes(spaced: list[tuple[int, int, str, str]]) -> tuple[list[np.ndar
     return hashes + more, [np.array(word_rows, np.int64)] * len(hashes) + [np.array(start_rows, np.int64)] * len(more)
 
 
+class Model:
+    """The letter model as an array, and as nested lists, which give single values faster."""
+
+    def __init__(self, table: np.ndarray):
+        self.table, self.nested = table, table.tolist()
+
+
 class Features:
     """The features of texts, and with a table of scores the best score of each text."""
 
     def __init__(self, model: np.ndarray):
-        # Nested lists give single values faster than an array.
-        self.model, self.memo = model.tolist(), {}
+        self.model, self.memo = Model(model), {}
 
     def of(self, text: pa.Array) -> tuple[list[tuple[np.ndarray, list[np.ndarray]]], np.ndarray, list[tuple[int, int, str, str]]]:
         """(words, hashes) of each form: as written, restored, other reading; (text, word) pairs, and spaced words with what is restored."""
         distinct, codes, counts = coded_words(text)
         body, restored, other = plain_words(distinct, self.model, self.memo)
         row = np.repeat(np.arange(len(text)), counts)
-        pairs = np.unique(row * max(1, len(distinct)) + codes)
+        pairs = ascending(row * max(1, len(distinct)) + codes)
         short = pc.equal(pc.utf8_length(body), 1).to_numpy(zero_copy_only=False)
         spaced = spaced_words(short, codes, counts, body.to_numpy(zero_copy_only=False))
-        spaced = [(r, at, w, restore(w, self.model, spaced=True)) for r, at, w in spaced]
+        spaced = [(r, at, w, restore(w, self.model.nested, spaced=True)) for r, at, w in spaced]
         self.spaced = spaced
         self.changed = pc.not_equal(body, restored).to_numpy(zero_copy_only=False)
         self.distinct = distinct, restored
@@ -335,7 +399,7 @@ def text_features(features: Features, text: pa.Array) -> tuple[np.ndarray, np.nd
         hashes += own
         rows += own_rows
     hash_, row_ = np.concatenate(hashes), np.concatenate(rows)
-    return hash_, row_, np.unique(np.concatenate([row[features.changed[word]], np.array([r for r, *_ in spaced], np.int64)]))
+    return hash_, row_, ascending(np.concatenate([row[features.changed[word]], np.array([r for r, *_ in spaced], np.int64)]))
 
 
 def distinct_pairs(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -355,44 +419,61 @@ def known_pairs(hashes: np.ndarray, rows: np.ndarray, known: np.ndarray) -> tupl
     return distinct_pairs(at[hit], rows[hit])
 
 
-def feature_counts(docs: DataFrame, model) -> DataFrame:
-    """(feature, pos, neg): in how many texts of either label a feature occurs, restored words included."""
+def labelled_features(docs: DataFrame, model) -> DataFrame:
+    """(toxic, found): the features of each labelled text, restored words included, as ascending 64-bit hashes."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.value)
         for batch in batches:
-            for part, text in slices(batch, batch.column("text")):
+            for part, text in slices(batch, batch.column("text"), FEATURE_BYTES):
                 hashes, rows, _ = text_features(features, text)
                 hashes, rows = distinct_pairs(hashes, rows)
-                toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[rows]
-                found, at = np.unique(hashes, return_inverse=True)
-                pos = np.bincount(at, weights=toxic, minlength=len(found)).astype(np.int64)
-                neg = np.bincount(at, minlength=len(found)) - pos
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(pos), pa.array(neg)], names=["feature", "pos", "neg"]
-                )
-
-    rows = docs.select(F.col("text").cast("string").alias("text"), "toxic")
-    rows = rows.mapInArrow(counted, "feature long, pos long, neg long")
+                lengths = np.bincount(rows, minlength=len(text)).astype(np.int64)
+                own = hashes[np.argsort(rows, kind="stable")]
+                found = binary_column(own, np.cumsum(lengths) - lengths, lengths)
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), found], names=["toxic", "found"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    return map_batches(rows, hashed, "toxic int, found binary")
+
+
+def hashes_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a batch of `labelled_features`, one text after another, and the text of each."""
+    found = batch.column("found")
+    lengths = pc.binary_length(found).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+    return np.frombuffer(b"".join(found.to_pylist()), np.uint64), np.repeat(np.arange(len(lengths)), lengths)
+
+
+def feature_counts(texts: DataFrame) -> DataFrame:
+    """(feature, pos, neg): in how many texts of either label a feature occurs."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, rows = hashes_of(batch)
+            toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+            found, at = np.unique(hashes, return_inverse=True)
+            pos = np.bincount(at, weights=toxic, minlength=len(found)).astype(np.int64)
+            neg = np.bincount(at, minlength=len(found)) - pos
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(pos), pa.array(neg)], names=["feature", "pos", "neg"]
+            )
+
+    rows = map_batches(texts, counted, "feature long, pos long, neg long")
     return rows.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def known_features(docs: DataFrame, model, known) -> DataFrame:
+def known_features(texts: DataFrame, known) -> DataFrame:
     """(toxic, found): the places of each text's known features."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(model.value)
         for batch in batches:
-            for part, text in slices(batch, batch.column("text")):
-                hashes, rows, _ = text_features(features, text)
-                places, rows = known_pairs(hashes, rows, known.value)
-                order = np.argsort(rows, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(text)))])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places[order], pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), lists], names=["toxic", "found"])
+            places, rows = known_pairs(*hashes_of(batch), known.value)
+            order = np.argsort(rows, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places[order], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), lists], names=["toxic", "found"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text"), "toxic")
-    return rows.mapInArrow(found, "toxic int, found array<int>")
+    return map_batches(texts, found, "toxic int, found array<int>")
 
 
 def fit_weights(toxic: np.ndarray, row: np.ndarray, place: np.ndarray, features: int) -> tuple[np.ndarray, float]:
@@ -422,7 +503,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
     that are not held out; of texts with the same words one counts. Features are those whose
     share of toxic texts has a high lower bound (Wilson's interval), so a rare one needs more
     than chance; their weights come from a logistic regression. Labels that are null, or of no
-    document, do nothing; without labels all texts score alike.
+    document, do nothing; of labels of one id that contradict each other the toxic one counts; without
+    labels all texts score alike. The labelled texts are decoded twice; their features would take more disk than the texts.
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(letter_model(word_counts(docs)))
@@ -435,14 +517,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
     once = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "toxic")).alias("of")).select("of.*").distinct()
     once = stored(once.limit(LABELLED_ROWS), "labelled")
     train = texts.join(F.broadcast(once), "doc_id").select("text", "toxic")
-    counts = feature_counts(train, model).where("pos > 2")
+    hashed = labelled_features(train, model)
+    counts = feature_counts(hashed).where("pos > 2")
     n, share = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
     spread = F.sqrt(CAUTION * (share * (1 - share) / n + CAUTION / (4 * n * n)))
     low = (share + CAUTION / (2 * n) - spread) / (1 + CAUTION / n)
     best = counts.select("feature", low.alias("low")).where(F.col("low") > LEAST_SHARE)
     best = best.orderBy(F.desc("low"), "feature").limit(FEATURES).select("feature").toPandas()
     features = spark.sparkContext.broadcast(np.sort(best["feature"].to_numpy(np.int64).view(np.uint64)))
-    seen = known_features(train, model, features).toPandas()
+    seen = known_features(hashed, features).toPandas()
     found = [np.asarray(x, np.int64) for x in seen["found"]]
     row = np.repeat(np.arange(len(found)), [len(x) for x in found])
     place = np.concatenate([*found, np.zeros(0, np.int64)])
@@ -450,35 +533,35 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
     return model, features, weights
 
 
-def toxicity(docs: DataFrame, fitted: tuple) -> DataFrame:
-    """(row, score, restored) of every document.
+def toxicity(docs: DataFrame, fitted: tuple, restored: bool = False) -> DataFrame:
+    """(row, score) of every document, and ``restored`` if asked for.
 
     ``score`` is the classifier's probability from the features of the whole text, in its own and
     in its restored words; null and empty texts have none and score as such. ``restored`` is the
     text with restored words where these differ and spaced words joined, else null. ``docs`` needs ``text``; all columns
-    stay inside ``row``, and nothing but the text is looked at.
+    stay inside ``row``, and nothing but the text is looked at. Repeated rows score alike; an empty table gives
+    an empty one.
     """
     model, known, (weights, bias) = fitted
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make() -> Callable[[pa.Array], pa.Array]:
         features = Features(model.value)
-        for batch in batches:
-            for part, text in slices(batch, pc.struct_field(batch.column("row"), "text")):
-                hashes, rows, changed = text_features(features, text)
-                places, rows = known_pairs(hashes, rows, known.value)
-                z = bias + np.bincount(rows, weights=weights[places], minlength=len(text))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row"),
-                        pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50)))),
-                        restored_texts(text, features, changed),
-                    ],
-                    names=["row", "score", "restored"],
-                )
-
-    held = rows_held(docs)
-    kind = held.schema["row"].dataType.simpleString()
-    return held.mapInArrow(scored, f"row {kind}, score double, restored string")
+
+        def scored(text: pa.Array) -> pa.Array:
+            hashes, rows, changed = text_features(features, text)
+            places, rows = known_pairs(hashes, rows, known.value)
+            z = bias + np.bincount(rows, weights=weights[places], minlength=len(text))
+            scores = pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+            if not restored:
+                return scores
+            return pa.StructArray.from_arrays([scores, restored_texts(text, features, changed)], names=["score", "restored"])
+
+        return scored
+
+    kind = "struct<score: double, restored: string>" if restored else "double"
+    found = text_function(docs.sparkSession, make, kind, FEATURE_BYTES)(F.col("row.text").cast("string"))
+    rows = rows_held(docs).select("row", found.alias("score"))
+    return rows.select("row", "score.score", "score.restored") if restored else rows
 
 
 def restored_texts(text: pa.Array, features: Features, rows: np.ndarray) -> pa.Array:
@@ -506,5 +589,9 @@ def restored_texts(text: pa.Array, features: Features, rows: np.ndarray) -> pa.A
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below the threshold, with their columns as they came."""
+    """The documents scored below the threshold, with their columns as they came.
+
+    Null and empty texts have no features and stay; repeated rows stay or go alike; without labels all
+    stay, and without documents there is no result.
+    """
     return toxicity(docs, fit(docs, labels)).where(F.col("score") < threshold).select("row.*")

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -12,19 +14,24 @@ from tallybrook.llm.toxicity import (
     EDGE,
     LETTERS,
     Features,
+    Model,
     feature_hashes,
     fit,
     held_out,
     keep_civil,
     letter_codes,
     letter_model,
+    letter_readings,
+    likeliest,
     plain_words,
     prefix_hashes,
+    readings,
     restore,
     restored_texts,
     spaced_hashes,
     text_features,
     toxicity,
+    ways,
     word_counts,
 )
 
@@ -151,15 +158,50 @@ def test_spaced_words_are_parted(model, letters, meant):
      ("éé", "é"), ("10$3r", "loser"), ("105", "los"), ("lo$$", "loss"), ("moron$$", "moron"), ("moron", "moron")],
 )
 def test_every_odd_word_is_decoded(model, written, meant):
-    _, restored, other = plain_words(pa.array([written]), model, {})
+    _, restored, other = plain_words(pa.array([written]), Model(model), {})
     assert meant in (restored[0].as_py(), other[0].as_py())
 
 
+def every_reading(word, doubled):
+    """All letters that a word may stand for, with what each choice costs in the channel."""
+    out = [("", 0.0)]
+    for char, run in itertools.groupby(word):
+        meant = ways(char, len(list(run)), doubled)
+        out = [(text + c, cost + more) for text, cost in out for c, more in meant]
+    return out
+
+
+def letter_cost(text, model):
+    codes = [EDGE, EDGE, *letter_codes(text), EDGE]
+    return -sum(float(model[a][b][c]) for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+
+
+@pytest.mark.parametrize("doubled", [4.0, 0.0])
+def test_the_search_finds_the_cheapest_of_all_readings(model, doubled):
+    r = random.Random(int(doubled))
+    words = ["".join(r.choice("aost0015$!-.|ll") for _ in range(r.randint(1, 7))) for _ in range(300)] + ["", "aaa", "100", "$$$"]
+    for word in words:
+        cost, text = likeliest(word, model, doubled=doubled)
+        best = {}
+        for letters, channel in every_reading(word, doubled):
+            best[letters] = min(best.get(letters, math.inf), channel + letter_cost(letters, model))
+        assert math.isclose(cost, min(best.values()), abs_tol=1e-6)
+        assert math.isclose(best[text], cost, abs_tol=1e-6)
+
+
+def test_words_of_letters_are_read_together_as_one_by_one(model):
+    r = random.Random(3)
+    words = ["".join(r.choice("moronéß") * r.choice((1, 1, 1, 2, 2, 3)) for _ in range(r.randint(1, 8))) for _ in range(400)]
+    words += ["iidiot", "moon", "éé", "aaaa", "mmoorroonn"]
+    assert letter_readings(words, model) == [readings(w, model.tolist()) for w in words]
+    assert letter_readings([], model) == []
+
+
 def test_signs_at_the_end_are_noise_or_letters(spark):
     words = [("ass", 5), ("dumbass", 5), ("a", 500), ("good", 50), ("to", 50), ("is", 50)]
     model = letter_model(spark.createDataFrame(words, "word string, n long"))
     written = ["a$$", "dumba$$", "@$$", "455", "good$$$", "$$$", "22", "a"]
-    body, restored, other = plain_words(pa.array(written), model, {})
+    body, restored, other = plain_words(pa.array(written), Model(model), {})
     both = dict(zip(written, zip(restored.to_pylist(), other.to_pylist(), strict=True), strict=True))
     assert all("ass" in both[w] for w in ("a$$", "@$$", "455")) and "dumbass" in both["dumba$$"]
     assert both["good$$$"][0] == "good" and both["22"] == ("22", "22") and both["455"][0] == "455" and both["a"] == ("a", "a")
@@ -196,7 +238,7 @@ def test_toxic_words_are_learned_also_when_hidden(spark, prose):
         labels.append((i, int(toxic)))
     docs = spark.createDataFrame([*rows, (None, None, 1, 1), (901, "", 1, 1), (901, "", 1, 1)], "doc_id long, text string, score int, restored int")
     known = spark.createDataFrame([*labels, (None, 1), (5_000, 1), (3, None)], "doc_id long, toxic int")
-    scored = {x.row.doc_id: x for x in toxicity(docs, fit(docs, known)).collect()}
+    scored = {x.row.doc_id: x for x in toxicity(docs, fit(docs, known), restored=True).collect()}
     assert len(scored) == 902 and all(0 <= x.score <= 1 for x in scored.values())
     outside = [(i, t) for i, t in labels if i in {x.i for x in spark.createDataFrame(labels, "i long, t int").where(held_out(F.col("i"))).collect()}]
     right = [(scored[i].score >= 0.3) == bool(t) for i, t in outside]
