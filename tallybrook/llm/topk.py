@@ -9,24 +9,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import stored
+from tallybrook.llm.common import map_batches, stored
 
 SCALE = 1024
 K = 10
-# Vectors of a block of postings, queries of a block, and copies of a query block that candidates are spread over.
-BLOCK, QUERY_BLOCK, SPREAD = 4096, 256, 32
+# Vectors of a block of postings, queries of a block, and bytes of queries that every task holds in one pass over the vectors.
+BLOCK, QUERY_BLOCK, QUERY_BYTES = 4096, 256, 64 << 20
 # Non-essential terms probed before candidates are dropped again.
 STEP = 8
 
-PACKED = "ids binary, weights binary, terms int"
+PACKED = "numbers binary, ids binary, weights binary, terms int"
 
 
 def packed_vectors(vectors: DataFrame, block: int, scale: int = SCALE) -> DataFrame:
     """Blocks of vectors as postings: a row of weights per term, for all vectors of the block.
 
     A component x becomes floor(scale * x) in 64-bit integers. Vectors that are null, empty, or
-    hold a null or a component that is not finite are left out, and so are such without an id.
-    Vectors of different lengths may meet: a missing component weighs nothing.
+    hold a null or a component that is not finite are left out, and so are such without an id, and those with
+    a component that 64 bits do not hold. Vectors of different lengths may meet: a missing component weighs nothing.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,31 +43,44 @@ def packed_vectors(vectors: DataFrame, block: int, scale: int = SCALE) -> DataFr
                 row = np.repeat(np.arange(len(lengths)), lengths)
                 values[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
                 weights = np.floor(scale * values).astype("<i8").T
-                ids = part.column("id").to_numpy(zero_copy_only=False).astype("<i8")
+                names = [part.column(c).to_numpy(zero_copy_only=False).astype("<i8") for c in ("number", "id")]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([ids.tobytes()], pa.binary()),
+                        *(pa.array([x.tobytes()], pa.binary()) for x in names),
                         pa.array([np.ascontiguousarray(weights).tobytes()], pa.binary()),
                         pa.array([terms], pa.int32()),
                     ],
-                    names=["ids", "weights", "terms"],
+                    names=["numbers", "ids", "weights", "terms"],
                 )
 
-    finite = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
-    whole = vectors.where("id IS NOT NULL AND vector IS NOT NULL AND size(vector) > 0").where(finite)
-    return whole.mapInArrow(pack, PACKED)
+    # Also false for what is not finite.
+    fits = F.forall("vector", lambda x: F.coalesce(F.abs(x) * scale < 2.0**63, F.lit(False)))
+    whole = vectors.where("id IS NOT NULL AND vector IS NOT NULL AND size(vector) > 0").where(fits)
+    return map_batches(whole, pack, PACKED)
 
 
-def unpacked(ids: bytes, weights: bytes, terms: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, "<i8"), np.frombuffer(weights, "<i8").reshape(terms, -1)
+def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    weights = np.frombuffer(row["weights"], "<i8").reshape(row["terms"], -1)
+    return np.frombuffer(row["numbers"], "<i8"), np.frombuffer(row["ids"], "<i8"), weights
+
+
+def size_of_sums(left: np.ndarray, right: np.ndarray) -> float:
+    """What no inner product of rows of one and columns of the other exceeds, signs aside."""
+    return float(np.abs(left.astype(float)).max(initial=0)) * float(np.abs(right.astype(float)).max(initial=0)) * max(1, left.shape[-1])
 
 
 def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """An exact integer product; by floating point where all sums stay below 2 to the 53."""
-    most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[-1])
+    """An exact integer product; by floating point where all sums stay below 2 to the 53.
+
+    Sums that 64 bits do not hold become the nearest number that they do.
+    """
+    most = size_of_sums(left, right)
     if most < 2.0**53:
         return (left.astype(np.float64) @ right.astype(np.float64)).astype(np.int64)
-    return left @ right
+    if most < 2.0**63:
+        return left @ right
+    exact = left.astype(object) @ right.astype(object)
+    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
 class Best:
@@ -92,8 +105,8 @@ class Best:
         self.scores[q], self.ids[q] = scores[order], ids[order]
 
 
-def max_score(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.ndarray, best: Best) -> None:
-    """Add a block of postings to the best of each query.
+def max_score(queries: np.ndarray, query_numbers: np.ndarray, block: np.ndarray, numbers: np.ndarray, ids: np.ndarray, best: Best) -> None:
+    """Add a block of postings to the best of each query, but not the query's own row.
 
     ``block`` has a row of postings per term. A term can add its largest product with the block's
     weights at most. Terms are taken by how far their products spread; those at the end whose
@@ -104,16 +117,18 @@ def max_score(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids
     terms = min(queries.shape[1], block.shape[0])
     queries, block = queries[:, :terms], block[:terms]
     high, low = block.max(1), block.min(1)
+    # Where sums may leave 64 bits no bound holds; such vectors are scored in full.
+    bounded = size_of_sums(queries, block) < 2.0**62
     for q in range(len(queries)):
-        weights, own = queries[q], query_ids[q]
-        if best.least(q) is None:
-            first = slice(0, 8 * best.k)
-            other = ids[first] != own
+        weights, own = queries[q], query_numbers[q]
+        if best.least(q) is None or not bounded:
+            first = slice(0, 8 * best.k if bounded else len(ids))
+            other = numbers[first] != own
             best.add(q, product(weights[None], block[:, first])[0][other], ids[first][other])
-            rest = np.arange(len(ids))[8 * best.k :]
+            rest = np.arange(len(ids))[first.stop :]
         else:
             rest = np.arange(len(ids))
-        rest = rest[ids[rest] != own]
+        rest = rest[numbers[rest] != own]
         if not len(rest):
             continue
         least = best.least(q)
@@ -140,61 +155,76 @@ def max_score(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids
             best.add(q, scores, ids[rest])
 
 
+def query_blocks(queries: DataFrame, limit: int) -> Iterator[list[dict]]:
+    """Blocks of packed queries, about ``limit`` bytes at a time and one block at least; the driver holds no more."""
+    held, size = [], 0
+    for row in queries.toLocalIterator():
+        held.append(row.asDict())
+        size += len(row.weights)
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def best_vectors(candidates: DataFrame, asked: list[dict], k: int) -> DataFrame:
+    """(number, query_id, vec_id, score): the k best vectors of each task for each of the queries that it holds."""
+    sent = candidates.sparkSession.sparkContext.broadcast(asked)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = [unpacked(row) for row in sent.value]
+        best = [Best(len(ids), k) for _, ids, _ in blocks]
+        for batch in batches:
+            for row in batch.to_pylist():
+                numbers, ids, postings = unpacked(row)
+                for (query_numbers, _, weights), own in zip(blocks, best, strict=True):
+                    max_score(weights.T, query_numbers, postings, numbers, ids, own)
+        for (query_numbers, query_ids, _), own in zip(blocks, best, strict=True):
+            lengths = [len(x) for x in own.ids]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(query_numbers, lengths)),
+                    pa.array(np.repeat(query_ids, lengths)),
+                    pa.array(np.concatenate(own.ids)),
+                    pa.array(np.concatenate(own.scores)),
+                ],
+                names=["number", "query_id", "vec_id", "score"],
+            )
+
+    return map_batches(candidates, search, "number long, query_id long, vec_id long, score long")
+
+
 def top_k(
     vectors: DataFrame,
-    is_query: Column,
+    is_query: Column | None,
     k: int = K,
     scale: int = SCALE,
     block: int = BLOCK,
-    query_block: int = QUERY_BLOCK,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors with the highest inner product, for each query.
 
-    ``vectors`` needs ``id`` and ``vector``; ``is_query`` marks the queries, which meet all vectors
-    but those of their own id. Ties go to the smaller id; vectors of one id count each for
-    themselves. Queries are in blocks, and each block meets every block of candidates as one
-    row; a task keeps k candidates per query of the block at hand and hands them on for the
-    merge over all tasks. Without queries or other vectors there are no rows.
-    """
-    own = vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
-    asked = own.where(F.expr("true") if is_query is None else is_query)
-    tasks = max(1, -(-asked.count() // query_block))
-    queries = packed_vectors(asked.repartition(tasks, F.xxhash64("id")), query_block, scale)
-    queries = stored(queries.withColumn("q", F.monotonically_increasing_id()), "query-blocks")
-    candidates = packed_vectors(own, block, scale).withColumn("part", F.monotonically_increasing_id() % SPREAD)
-    each = queries.select(
-        "q",
-        F.expr(f"explode(sequence(0L, {SPREAD - 1}L))").alias("part"),
-        *(F.col(c).alias(f"q_{c}") for c in ("ids", "weights", "terms")),
-    )
+    ``vectors`` needs ``id`` and ``vector``; ``is_query`` marks the queries, which meet all vectors but their own
+    row. Rows are told apart by a number that is stored with them: of rows with one id each is a vector and, if
+    marked, a query of its own, with ranks of its own, and may find the others. Ties go to the smaller id. A score
+    beyond 64 bits is given as the nearest number of 64 bits. Without queries or other vectors there are no rows.
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, best, asked_ids = None, None, None
-        for batch in batches:
-            for r in batch.to_pylist():
-                query_ids, weights = unpacked(r["q_ids"], r["q_weights"], r["q_terms"])
-                if r["q"] != number:
-                    if best is not None:
-                        yield found(best, asked_ids)
-                    number, asked_ids, best = r["q"], query_ids, Best(len(query_ids), k)
-                ids, postings = unpacked(r["ids"], r["weights"], r["terms"])
-                max_score(weights.T, query_ids, postings, ids, best)
-        if best is not None:
-            yield found(best, asked_ids)
-
-    def found(best: Best, query_ids: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(query_ids, [len(x) for x in best.ids])),
-                pa.array(np.concatenate(best.ids)),
-                pa.array(np.concatenate(best.scores)),
-            ],
-            names=["query_id", "vec_id", "score"],
-        )
-
-    met = candidates.join(each, "part").sortWithinPartitions("q")
-    hits = met.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    Every task holds the queries of a pass, ``query_bytes`` of them, and k candidates for each, while the blocks of
+    vectors go by; what it has found is merged over all tasks.
+    """
+    whole = vectors.withColumn("_asked", F.expr("true") if is_query is None else F.coalesce(is_query, F.lit(False)))
+    own = whole.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"), "_asked")
+    own = stored(own.withColumn("number", F.monotonically_increasing_id()), "vectors")
+    queries = stored(packed_vectors(own.where("_asked"), QUERY_BLOCK, scale), "query-blocks")
+    candidates = stored(packed_vectors(own, block, scale), "postings")
+    hits = None
+    for asked in query_blocks(queries, query_bytes):
+        found = stored(best_vectors(candidates, asked, k), "hits")
+        hits = found if hits is None else hits.unionAll(found)
+    if hits is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
