@@ -23,8 +23,9 @@ DEPTH = 4
 CHILDREN, PAGES_PER_CHILD = 12, 3
 # Branches merge if their purity lies within so many standard errors of their common one.
 ERRORS = 1.96
-# Labels of either kind added to each template, and the purity below which it is rejected.
-SMOOTHING, LEAST_PURITY = 2, 0.4
+# Labels that the share above counts as at each level, from all pages down to a template; and the part of the share of all
+# labels below which a template's purity is rejected.
+SMOOTHING, LEAST_PART = 4, 0.8
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -78,16 +79,29 @@ def template_tree(paths: DataFrame) -> DataFrame:
         d += 1
 
 
+def smoothed(good: Column, n: Column, above: Column) -> Column:
+    """The share of good labels, drawn towards the share above as by ``SMOOTHING`` labels of it."""
+    return (good + F.lit(float(SMOOTHING)) * above) / (n + F.lit(float(SMOOTHING)))
+
+
 def judged_templates(leaves: DataFrame) -> DataFrame:
     """(host, template, good, bad, purity, rejected) from (host, template, good, bad).
 
     Templates with labels that hang on one node are compared with all labels below it; those
-    within the sampling error are merged and share their counts. A template without labels is
-    not merged, as nothing shows that it is alike. Purity is the share of good labels, smoothed.
+    within the sampling error are merged and share their counts. Purity is the share of good labels, smoothed
+    towards the node's, which is smoothed towards the host's, and that towards the share of all labels, one half
+    without any. So a template with few labels or none is judged by those of its neighbours, and one of whose host
+    nothing is known is as good as all. It is rejected where its purity is clearly lower than that.
     """
     leaves = leaves.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     leaves = leaves.withColumns({"node": F.regexp_replace("template", "/[^/]*$", ""), "n": F.col("good") + F.col("bad")})
     nodes = leaves.groupBy("host", "node").agg(F.sum("good").alias("all_good"), F.sum("n").alias("all_n"))
+    hosts = nodes.groupBy("host").agg(F.sum("all_good").alias("host_good"), F.sum("all_n").alias("host_n"))
+    table = hosts.agg(F.coalesce(F.sum("host_good"), F.lit(0)).alias("table_good"), F.coalesce(F.sum("host_n"), F.lit(0)).alias("table_n"))
+    table = table.select(smoothed(F.col("table_good"), F.col("table_n"), F.lit(0.5)).alias("table_share"))
+    host_share = smoothed(F.col("host_good"), F.col("host_n"), F.col("table_share")).alias("host_share")
+    hosts = hosts.join(F.broadcast(table)).select("host", "table_share", host_share)
+    nodes = nodes.join(hosts, "host").withColumn("node_share", smoothed(F.col("all_good"), F.col("all_n"), F.col("host_share")))
     leaves = leaves.join(nodes, ["host", "node"])
     n, share = F.col("n").cast("double"), F.col("all_good") / F.col("all_n")
     off = F.col("good") / n - share
@@ -97,18 +111,36 @@ def judged_templates(leaves: DataFrame) -> DataFrame:
     leaves = leaves.join(merged, ["host", "node"], "left")
     good = F.when(F.col("alike"), F.col("m_good")).otherwise(F.col("good"))
     total = F.when(F.col("alike"), F.col("m_n")).otherwise(F.col("n"))
-    purity = (good + SMOOTHING) / (total + 2 * SMOOTHING)
-    return leaves.select("host", "template", "good", "bad", purity.alias("purity")).withColumn(
-        "rejected", F.col("purity") < LEAST_PURITY
+    purity = smoothed(good, total, F.col("node_share"))
+    rejected = purity < F.lit(LEAST_PART) * F.col("table_share")
+    return leaves.select("host", "template", "good", "bad", purity.alias("purity"), rejected.alias("rejected"))
+
+
+def with_labels(shapes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The shapes of the pages and of the labelled urls, with the labels of both; a labelled url counts as a page of its shape."""
+    host, path = host_and_path(F.col("url"))
+    good = F.col("good").cast("boolean")
+    told = labels.where(good.isNotNull()).select(
+        host.alias("host"),
+        F.regexp_replace(path, "[0-9]+", "#").alias("shape"),
+        F.lit(1).cast("long").alias("pages"),
+        good.cast("long").alias("good"),
+        (~good).cast("long").alias("bad"),
     )
+    sums = [F.sum(c).alias(c) for c in ("pages", "good", "bad")]
+    told = told.groupBy("host", "shape").agg(*sums)
+    return shapes.select(told.columns).unionByName(told).groupBy("host", "shape").agg(*sums)
 
 
-def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, labels: DataFrame | None = None
+) -> DataFrame:
     """(row, host, path, rule, template, purity, verdict) for every row of ``pages``.
 
-    Pages under a rule get its verdict and are the labels of the templates; other pages are
-    blocked if their template is rejected, else allowed. ``pages`` needs ``url``; all columns
-    stay inside ``row``. A null url, or one without ``://``, has an empty host and path and so
+    Pages under a rule get its verdict and are labels of the templates; other pages are
+    blocked if their template is rejected, else allowed. ``labels`` (``url``, ``good``) gives the templates more
+    labels: judged urls, which need not be among the pages and stand for none; null labels say nothing. ``pages``
+    needs ``url``; all columns stay inside ``row``. A null url, or one without ``://``, has an empty host and path and so
     no rule; repeated rows count as often as they occur. Digits become ``#`` before the tree is
     grown, and all counts are summed by host and shape first, so a host with a third of all
     pages is as many rows as it has shapes.
@@ -126,6 +158,8 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) ->
         ),
         "url-shapes",
     )
+    if labels is not None:
+        shapes = stored(with_labels(shapes, labels), "url-shapes")
     tree = stored(template_tree(shapes.select("host", "shape", "pages")), "url-templates")
     leaves = shapes.join(tree, ["host", "shape"])
     verdicts = judged_templates(leaves.select("host", "template", "good", "bad"))
@@ -186,6 +220,16 @@ leaves AS (
   SELECT host, template, regexp_replace(template, '/[^/]*$', '') AS node, SUM(good) AS good, SUM(good + bad) AS n
   FROM shaped GROUP BY host, template),
 nodes AS (SELECT host, node, SUM(good) AS all_good, SUM(n) AS all_n FROM leaves GROUP BY host, node),
+hosts AS (SELECT host, SUM(all_good) AS host_good, SUM(all_n) AS host_n FROM nodes GROUP BY host),
+all_labels AS (
+  SELECT (COALESCE(SUM(host_good), 0)::DOUBLE + {SMOOTHING}::DOUBLE * 0.5::DOUBLE) / (COALESCE(SUM(host_n), 0)::DOUBLE + {SMOOTHING}::DOUBLE) AS table_share
+  FROM hosts),
+host_shares AS (
+  SELECT host, (host_good::DOUBLE + {SMOOTHING}::DOUBLE * table_share) / (host_n::DOUBLE + {SMOOTHING}::DOUBLE) AS host_share
+  FROM hosts, all_labels),
+node_shares AS (
+  SELECT n.host, node, (all_good::DOUBLE + {SMOOTHING}::DOUBLE * host_share) / (all_n::DOUBLE + {SMOOTHING}::DOUBLE) AS node_share
+  FROM nodes n JOIN host_shares h ON n.host = h.host),
 compared AS (
   SELECT l.*, CASE WHEN n > 0 THEN
       (good / n::DOUBLE - all_good::DOUBLE / all_n::DOUBLE) * (good / n::DOUBLE - all_good::DOUBLE / all_n::DOUBLE)
@@ -195,11 +239,12 @@ compared AS (
 merged AS (SELECT host, node, SUM(good) AS m_good, SUM(n) AS m_n FROM compared WHERE alike GROUP BY host, node),
 judged AS (
   SELECT c.host, c.template,
-         (CASE WHEN alike THEN m_good ELSE good END + {SMOOTHING})::DOUBLE
-         / (CASE WHEN alike THEN m_n ELSE n END + {2 * SMOOTHING})::DOUBLE AS purity
-  FROM compared c LEFT JOIN merged m ON c.host = m.host AND c.node = m.node)
+         ((CASE WHEN alike THEN m_good ELSE good END)::DOUBLE + {SMOOTHING}::DOUBLE * node_share)
+         / ((CASE WHEN alike THEN m_n ELSE n END)::DOUBLE + {SMOOTHING}::DOUBLE) AS purity, table_share
+  FROM compared c CROSS JOIN all_labels JOIN node_shares s ON c.host = s.host AND c.node = s.node
+  LEFT JOIN merged m ON c.host = m.host AND c.node = m.node)
 SELECT l.page_id, l.host, l.path, l.rule, s.template, j.purity,
-       COALESCE(l.label, CASE WHEN j.purity < {LEAST_PURITY} THEN 'block' ELSE 'allow' END) AS verdict
+       COALESCE(l.label, CASE WHEN j.purity < {LEAST_PART}::DOUBLE * j.table_share THEN 'block' ELSE 'allow' END) AS verdict
 FROM labelled l JOIN shaped s ON l.host = s.host AND l.shape = s.shape
 JOIN judged j ON s.host = j.host AND s.template = j.template
 """

@@ -125,12 +125,34 @@ def test_templates_like_the_blocked_ones_are_rejected(spark):
     rows = judge_urls(pages, (bad, good)).collect()
     purity = {(r.host, r.template): r.purity for r in rows}
     assert purity["bad.test", "/ads/#"] < 0.1 < 0.9 < purity["bad.test", "/news/#"]
-    assert purity["other.test", "/ads/#"] == 0.5
+    # 30 of 61 labels are good; nothing else is known of the other host.
+    assert purity["other.test", "/ads/#"] == pytest.approx((30 + 2) / 65)
     narrow = (("bad.test/ads/1", "block"), ("bad.test/news/", "allow"))
     verdicts = {r.row.url: (r.rule, r.verdict) for r in judge_urls(pages, narrow).collect()}
     assert verdicts["http://bad.test/ads/2"] == (None, "block") and verdicts["http://other.test/ads/1"] == (None, "allow")
 
 
+def test_templates_without_labels_are_judged_by_their_neighbours(spark):
+    pages = [f"http://{h}.test/{branch}/{slug}" for h in ("mixed", "bad") for branch in ("a", "b") for slug in ("x", "y", "z")]
+    pages += ["http://new.test/a/x", "http://mixed.test/a/x"]
+    told = [(f"http://mixed.test/a/{s}", ok) for s, ok in (("x", True), ("y", True)) for _ in range(9)]
+    told += [(f"http://mixed.test/b/{s}", False) for s in ("x", "y") for _ in range(9)]
+    told += [(f"http://bad.test/a/{s}", False) for s in ("x", "elsewhere") for _ in range(20)] + [("http://bad.test/b/x", None), (None, True)]
+    labels = spark.createDataFrame([(*t, 1) for t in told], "url string, good boolean, host int")
+    rows = judge_urls(spark.createDataFrame([(u,) for u in pages], "url string"), (), labels).collect()
+    assert len(rows) == len(pages)
+    got = {r.row.url.removeprefix("http://"): (r.verdict, r.purity) for r in rows}
+    # By the node's labels, by the host's where the node has none, by all where the host has none.
+    assert [got[f"mixed.test/{b}/z"][0] for b in "ab"] == ["allow", "block"]
+    assert [got[f"bad.test/{b}/z"][0] for b in "ab"] == ["block", "block"]
+    share = (18 + 1 + 2) / (36 + 40 + 1 + 4)
+    assert got["new.test/a/x"] == ("allow", pytest.approx(share)) and share < 0.4
+    assert got["mixed.test/a/z"][1] > got["mixed.test/b/z"][1] > got["bad.test/a/z"][1]
+    plain = judge_urls(spark.createDataFrame([(u,) for u in pages], "url string"), ()).collect()
+    assert {(r.verdict, r.purity) for r in plain} == {("allow", 0.5)}
+    assert len(judge_urls(spark.createDataFrame([(u,) for u in pages], "url string"), (), labels.limit(0)).collect()) == len(pages)
+
+
 def test_a_shared_host_is_grouped_before_it_moves(spark):
     pages = spark.range(30_000).select(F.concat(F.lit("http://hot.net/de/"), "id").alias("url"))
     got = judge_urls(pages).groupBy("host", "template", "verdict").count().collect()
