@@ -165,9 +165,9 @@ def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
 
 
 @cache
-def tokenizer_for(path: str) -> WordTokenizer:
+def tokenizer_for(path: str, memo_words: int = MEMO_WORDS) -> WordTokenizer:
     """The worker's own tokenizer of a vocabulary, loaded once and with what earlier tasks have learned."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, memo_words)
 
 
 class WordTokenizer:

@@ -10,11 +10,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import WordTokenizer, binary_column, slices, spread, vocabulary_file, with_end
+from tallybrook.llm.common import binary_column, map_batches, slices, spread, tokenizer_for, vocabulary_file, with_end
 from tallybrook.session import work_folder
 
 WINDOW = 2048
 END_ID = 2
+# Distinct words whose token ids a worker remembers.
+MEMO_WORDS = 500_000
 # Tokens that a task gathers before it packs and writes them.
 GROUP_TOKENS = 1 << 20
 
@@ -135,14 +137,15 @@ def token_matrix(
     begins with. Documents longer than a window are split after each full one and lose nothing.
     Each task packs its own documents in groups, so no row is shuffled, no group exceeds
     memory, and a window is not filled up from other groups. ``docs`` needs ``doc_id`` and
-    ``text``; a null text is the end token alone, repeated rows are documents of their own.
+    ``text``; a null text is the end token alone, repeated rows are documents of their own. An empty
+    table has no windows.
     """
     if not 0 < window <= 1 << 16:
         raise ValueError("windows have 1 to 65536 tokens")
     path = vocabulary or vocabulary_file()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, number = WordTokenizer(path), TaskContext.get().partitionId() << 33
+        tokenizer, number = tokenizer_for(path, MEMO_WORDS), TaskContext.get().partitionId() << 33
         held: list[tuple[np.ndarray, np.ndarray, list]] = []
         size = 0
         for batch in batches:
@@ -157,7 +160,7 @@ def token_matrix(
         if held:
             yield packed_rows(*joined(held), window, pad_id, number)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pack, ROWS)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), pack, ROWS)
 
 
 def joined(held: list[tuple[np.ndarray, np.ndarray, list]]) -> tuple[np.ndarray, np.ndarray, list]:
