@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,38 +58,56 @@ def reduce_by_key(
     """Reduce a column per key with any associative, commutative function of a Series.
 
     For functions that Spark lacks; use its own aggregates otherwise. Each task merges its
-    rows first; partial results then meet sorted by key and are merged as they pass, so no
-    task ever holds a whole group. Nulls are passed over; a key with nothing else has null. With
+    rows first, ten times ``held_keys`` or a batch at once, so a row is merged once there; partial results
+    then meet sorted by key and are merged as they pass, so no task ever holds a whole group, and a lone one is
+    not merged again. Nulls are passed over; a key with nothing else has null. With
     no keys the whole column is reduced to one row, to none when there are no rows at all.
     """
     grouping = keys or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
     source = source.select(*grouping, value)
 
-    def merged(table: pa.Table) -> pa.Table:
+    def merged(table: pa.Table, alone: int) -> pa.Table:
+        """One row per key in order of appearance; ``alone`` values of a key or fewer stay as they are."""
         # Arrow types keep whole numbers beside nulls as they are.
         pdf = table.to_pandas(types_mapper=pd.ArrowDtype)
-        found = pdf[pdf[value].notna()].groupby(grouping, as_index=False, dropna=False, sort=False)[value].agg(merge)
-        # All keys in order of appearance, also those without a value.
-        reduced = pdf[grouping].drop_duplicates().merge(found, "left", grouping)
-        return pa.Table.from_pandas(reduced, schema=table.schema, preserve_index=False)
+        group = pdf.groupby(grouping, dropna=False, sort=False).ngroup().to_numpy()
+        first = np.unique(group, return_index=True)[1]
+        full = np.flatnonzero(pdf[value].notna().to_numpy())
+        full = full[np.argsort(group[full], kind="stable")]
+        values = pdf[value].take(full)
+        starts = np.searchsorted(group[full], np.arange(len(first) + 1))
+        # A key without values keeps its null, a lone value itself.
+        kept = first.copy()
+        some = np.flatnonzero(np.diff(starts))
+        kept[some] = full[starts[some]]
+        many = np.flatnonzero(np.diff(starts) > alone)
+        found = [merge(values.iloc[a:b]) for a, b in zip(starts[many].tolist(), starts[many + 1].tolist(), strict=True)]
+        column = table.column(value).take(pa.array(kept)).combine_chunks()
+        if found:
+            mask = np.zeros(len(first), bool)
+            mask[many] = True
+            results = pd.Series(found, dtype=pd.ArrowDtype(column.type))
+            column = pc.replace_with_mask(column, pa.array(mask), pa.array(results, type=column.type))
+        rows = table.take(pa.array(first))
+        return rows.set_column(table.schema.get_field_index(value), table.schema.field(value), column)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        waiting, rows = [], 0
         for batch in batches:
-            part = merged(pa.Table.from_batches([batch]))
-            held = part if held is None else merged(pa.concat_tables([held, part]))
-            if len(held) > held_keys:
-                yield from held.to_batches()
-                held = None
-        if held is not None:
-            yield from held.to_batches()
+            waiting.append(batch)
+            rows += len(batch)
+            if rows >= 10 * held_keys:
+                yield from merged(pa.Table.from_batches(waiting), 0).to_batches()
+                waiting, rows = [], 0
+        if rows:
+            yield from merged(pa.Table.from_batches(waiting), 0).to_batches()
 
     def in_key_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            part = merged(rows if held is None else pa.concat_tables([held, rows]))
+            part = merged(rows if held is None else pa.concat_tables([held, rows]), 1)
             # The last key may go on in the next batch.
             yield from part.slice(0, len(part) - 1).to_batches()
             held = part.slice(len(part) - 1)

@@ -212,6 +212,31 @@ def test_reduce_by_key(spark, rows):
     assert rows(counting.reduce_by_key(df, [], "v", lambda s: s.sum())) == [(sum(range(5000)),)]
 
 
+def test_reduce_merges_a_value_once_per_step(spark, rows, tmp_path):
+    """Keys that are held are not merged again with each batch: the calls do not grow with the square of a task's batches."""
+
+    def merge(values):
+        with open(tmp_path / "calls", "ab") as calls:
+            calls.write(b".")
+        return values.max()
+
+    df = spark.range(0, 40_000, 1, 1).selectExpr("id % 2000 as k", "id as v")
+    assert rows(counting.reduce_by_key(df, ["k"], "v", merge)) == sorted(((k, 38_000 + k) for k in range(2000)), key=lambda r: str(r[0]))
+    assert (tmp_path / "calls").stat().st_size < 4500
+
+
+@pytest.mark.parametrize("held", [1, 100_000])
+def test_reduce_with_any_function_of_values(spark, rows, held):
+    """Lone values go through the function too; a function may give null; texts and decimals keep their type."""
+    df = spark.createDataFrame([(1, -5.0), (2, -1.0), (2, 3.0), (3, None), (None, -2.0)], "k int, v double").repartition(3)
+    assert rows(counting.reduce_by_key(df, ["k"], "v", lambda s: s.abs().max(), held)) == [(None, 2.0), (1, 5.0), (2, 3.0), (3, None)]
+    assert {r[1] for r in rows(counting.reduce_by_key(df, ["k"], "v", lambda s: None, held))} == {None}
+    words = df.selectExpr("k", "cast(v as string) as v")
+    assert rows(counting.reduce_by_key(words, ["k"], "v", lambda s: s.min(), held)) == [(None, "-2.0"), (1, "-5.0"), (2, "-1.0"), (3, None)]
+    money = df.selectExpr("k", "cast(v as decimal(18,2)) as v")
+    assert [str(r[1]) for r in rows(counting.reduce_by_key(money, ["k"], "v", lambda s: s.sum(), held))] == ["-2.00", "-5.00", "2.00", "None"]
+
+
 def test_reduce_keeps_large_numbers_and_null_keys(spark, rows):
     large = 2**60 + 1
     df = spark.createDataFrame([(large, 1), (None, large), (large, 2), (None, 3), (4, None)], "k bigint, v bigint")
