@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tallybrook.functions.values import mask_number, mask_salted, number_label
 from tallybrook.operators import cleaning, counting, grouping, mapping, ordering, shaping
 from tallybrook.operators.profile import QUARTER_NAMES, QUARTERS, merged_profile, profile, profile_sketches
+from tallybrook.plans import lottery
 from tallybrook.plans.lottery import multiplier_distribution
 from tallybrook.plans.staff import masked_records, pay_by_group
 
@@ -113,6 +114,26 @@ def test_multipliers_with_repeated_wins(spark, limit):
     assert got == sorted(Counter(best.values()).items())
 
 
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_many_entries_are_counted_in_more_parts(spark, plan, monkeypatch, limit):
+    """The parts follow the number of entries, so what one task counts does not grow with the table."""
+    monkeypatch.setattr(lottery, "ENTRIES_PER_TASK", 100)
+    e = spark.range(1000).selectExpr("id % 50 as n", "id % 4 as b")
+    w = spark.range(60).selectExpr("id as n", "2 as b")
+    best = {}
+    for (_, n), c in Counter((i % 4, i % 50) for i in range(1000)).items():
+        best[n] = max(best.get(n, 0), c)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found = multiplier_distribution(e, w, "n", "b", 2)
+        assert "10), REPARTITION_BY_NUM" in plan(found)
+        assert [tuple(r) for r in found.collect()] == sorted(Counter(best.values()).items())
+        monkeypatch.setattr(lottery, "ENTRIES_PER_TASK", 1000)
+        assert "REPARTITION_BY_NUM" not in plan(multiplier_distribution(e, w, "n", "b", 2))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def murmur3(number, seed=42):
     """Murmur3 of one 32-bit integer, as a signed number."""
     full = 0xFFFFFFFF
