@@ -73,7 +73,8 @@ def equi_join(
     other = "right" if split == "left" else "left"
     source, copied = parts[split], parts[other]
     parts[split] = source.withColumn("_salt", _row_salt(source, salts))
-    parts[other] = copied.withColumn("_salt", _every_salt(salts))
+    # Merged, as a broadcast would hold the copies for all salts in every executor, many times the size that Spark expects.
+    parts[other] = copied.withColumn("_salt", _every_salt(salts)).hint("merge")
     if kind in ("inner", split) or kind.startswith("left_"):
         # Every row of the split side keeps exactly one salt: the join is right as it stands.
         return parts["left"].join(parts["right"], salted, kind).select(*names)

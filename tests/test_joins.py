@@ -96,6 +96,19 @@ def test_a_compressed_hot_key_is_spread_too(spark, tmp_path):
     assert sum(sizes) == 400_001 and sizes[-1] <= 200_000
 
 
+@pytest.mark.parametrize("how, split", [("left", "right"), ("right", "left"), ("inner", "left"), ("left", "left")])
+def test_copies_for_salts_are_not_broadcast(spark, plan, how, split):
+    """Spark expects the copied side to be as small as before it was copied."""
+    facts = spark.range(1000).selectExpr("id % 50 as k", "id as a")
+    people = spark.range(50).selectExpr("id as k", "id as b")
+    assert "BroadcastHashJoin [k" in plan(equi_join(facts, people, "k"))
+    sides = (facts, people) if split == "left" else (people, facts)
+    joined = equi_join(*sides, "k", how, split, 8)
+    assert joined.count() == 1000
+    text = plan(joined)
+    assert "SortMergeJoin [k" in text and not [x for x in text.split("\n") if "BroadcastHashJoin" in x and "_salt" in x]
+
+
 def test_salts_need_a_side(spark):
     df = spark.range(3).selectExpr("id as k")
     with pytest.raises(ValueError):
