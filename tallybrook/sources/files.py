@@ -23,12 +23,14 @@ def read_lines(
 ) -> DataFrame:
     """Text lines in a column ``value``. A line end may be named; "\\r" also ends lines otherwise.
 
-    With ``min_partitions`` the lines are dealt out to so many partitions, also those of a
-    compressed file that the scan cannot split. Without it nothing is shuffled.
+    ``min_partitions`` is the least number of partitions: where the scan makes fewer, as of a
+    compressed file that it cannot split, the lines are dealt out to so many. A scan of that many or more
+    stays as it is, so a large file is read in as many parts as it has. Without it nothing is shuffled.
     """
     options = {"lineSep": line_end} if line_end else {}
     lines = spark.read.options(**options).text(path)
-    return lines.repartition(min_partitions) if min_partitions else lines
+    few = min_partitions and lines.rdd.getNumPartitions() < min_partitions
+    return lines.repartition(min_partitions) if few else lines
 
 
 def read_csv(

@@ -106,6 +106,20 @@ def test_lines_are_dealt_out_when_asked_for(spark, tmp_path, plan):
     assert "RoundRobin" not in plan(files.read_lines(spark, str(tmp_path / "a.gz")))
 
 
+def test_min_partitions_is_a_least_number(spark, plan, tmp_path):
+    """A large file is read in as many parts as it has, not in the few that were asked for."""
+    (tmp_path / "long.txt").write_text("".join(f"line {i}\n" for i in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = files.read_lines(spark, str(tmp_path / "long.txt"), min_partitions=4, line_end="\n")
+        assert lines.rdd.getNumPartitions() > 4 and "RoundRobin" not in plan(lines)
+        assert sorted(r[0] for r in lines.collect()) == sorted(f"line {i}" for i in range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_views_and_catalog(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 410), (2, 95)], "id int, salary int")
     assert rows(catalog.select_all(spark, catalog.session_view(df, "t1"))) == rows(df)
