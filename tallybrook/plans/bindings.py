@@ -786,7 +786,7 @@ def stream_static_fresh(spark, sf_dir):
 def join_state(spark, sf_dir):
     """How many rows a join of two streams keeps after the first day, and after a restart with the other days."""
     folder, found = work_folder(spark, "join_state"), []
-    with results.stream_settings(spark):
+    with results.stream_settings(spark, whole_state=True):
         for run, _ in enumerate(arrivals_by_day(spark, sf_dir, f"{folder}/events"), 1):
             clicks, _ = clicks_and_views(inputs.table_stream(spark, f"{folder}/events"))
             _, views = clicks_and_views(inputs.table_stream(spark, f"{folder}/events"))

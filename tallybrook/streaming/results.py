@@ -19,18 +19,23 @@ ONCE = {"availableNow": True}
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
 BATCH, SLOT, UPTO = "_batch", "_slot", "_upto"
 SECONDS_EACH = 0.5
+CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 # What a sink does with one micro-batch and its number.
 Write = Callable[[DataFrame, int], None]
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, state_partitions: int | None = None) -> Iterator[None]:
+def stream_settings(spark: SparkSession, state_partitions: int | None = None, whole_state: bool = False) -> Iterator[None]:
     """Settings a stream fixes when it is defined and started: UTC, state in RocksDB, and the
     number of state partitions, which its checkpoint keeps for good.
 
     The default is a partition per core, and on a cluster no fewer than the session's
     shuffle partitions.
+
+    Each batch stores its changes of the state, and whoever loads the state plays them again. With ``whole_state``
+    it stores the state's files: for few large batches whose state is read afterwards, as what a batch has
+    added and dropped again is then not played for every reader.
     """
     if state_partitions is None:
         state_partitions = spark.sparkContext.defaultParallelism
@@ -40,6 +45,7 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(state_partitions),
         **STREAM_STATE,
+        CHANGES: str(not whole_state).lower(),
     }
     with session_settings(spark, settings):
         yield
