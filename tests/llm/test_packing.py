@@ -21,6 +21,42 @@ def ids_of(tokenizer, text):
     return tokenizer.tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
+class Counted:
+    """A tokenizer that counts the texts given to it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàéîõüÿđłœȝÉØ"
+
+
+def test_words_of_letters_are_encoded_together(tokenizer):
+    rng = random.Random(3)
+    words = list(dict.fromkeys("".join(rng.choices(LETTERS, k=rng.randrange(1, 12))) + rng.choice(["", "", "...", "***", ",$$$"]) for _ in range(6000)))
+    own = WordTokenizer(vocabulary_file())
+    own.tokenizer = Counted(own.tokenizer)
+    ids, counts = own.encode(pa.array([" ".join(words), None, words[0]], pa.string()))
+    want = [tokenizer.tokenizer.encode(x, add_special_tokens=False).ids for x in (" ".join(words), "", words[0])]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(x) for x in want]
+    assert own.tokenizer.texts < 100
+
+
+def test_a_vocabulary_without_marks_of_ends(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    plain = Tokenizer(models.BPE({x: i for i, x in enumerate([*"abc", "ab"])}, [("a", "b")]))
+    plain.pre_tokenizer = pre_tokenizers.Whitespace()
+    plain.save(path := str(tmp_path / "plain.json"))
+    ids, counts = WordTokenizer(path).encode(pa.array(["ab cab a", "", "bca zz ab"], pa.string()))
+    want = [plain.encode(x).ids for x in ("ab cab a", "", "bca zz ab")]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(x) for x in want]
+
+
 def test_ids_by_words_are_those_of_whole_texts(tokenizer, texts, prose):
     hard = ["<|endoftext|>A <|ENDOFTEXT|>.", "don't DON'T 'll.'s", "Á. ́x", "a)., b!? ... ., ½. ². İ.", "3.5,7 x.y."]
     many = [*texts, *hard, *[prose(s, 300) for s in range(5)]]
