@@ -15,8 +15,8 @@ from tallybrook.llm.common import binary_column, map_batches, slices, spread, st
 
 WINDOW = 4096
 END_ID = 2
-# Text tokenized at once; the more, the fewer words are looked up twice.
-TOKENIZED_BYTES = 4 << 20
+# Text tokenized at once: the more, the more memory for each worker, but hardly less time.
+TOKENIZED_BYTES = 1 << 20
 # Rows of three numbers that a broadcast may have; beyond it the pieces are shuffled by length and task.
 BROADCAST_STARTS = 1_000_000
 

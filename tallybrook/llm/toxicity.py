@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import SPACES, ascending, binary_column, coded_words, map_batches, rows_held, slices, stored, text_function, words_of
+from tallybrook.llm.common import SPACES, ascending, coded_words, map_batches, rows_held, slices, stored, text_function, words_of
 from tallybrook.llm.near_dups import same_words
 
 THRESHOLD = 0.3
@@ -419,61 +419,48 @@ def known_pairs(hashes: np.ndarray, rows: np.ndarray, known: np.ndarray) -> tupl
     return distinct_pairs(at[hit], rows[hit])
 
 
-def labelled_features(docs: DataFrame, model) -> DataFrame:
-    """(toxic, found): the features of each labelled text, restored words included, as ascending 64-bit hashes."""
+def labelled_features(docs: DataFrame, model, made: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``made`` gives for the features of labelled texts, some texts at once: (hash, text) pairs, each once and by
+    hash, and the texts' labels. It is called where the features are, so a task has one Python worker."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.value)
         for batch in batches:
             for part, text in slices(batch, batch.column("text"), FEATURE_BYTES):
                 hashes, rows, _ = text_features(features, text)
-                hashes, rows = distinct_pairs(hashes, rows)
-                lengths = np.bincount(rows, minlength=len(text)).astype(np.int64)
-                own = hashes[np.argsort(rows, kind="stable")]
-                found = binary_column(own, np.cumsum(lengths) - lengths, lengths)
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), found], names=["toxic", "found"])
+                yield made(*distinct_pairs(hashes, rows), part.column("toxic"))
 
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    return map_batches(rows, hashed, "toxic int, found binary")
+    return map_batches(rows, hashed, schema)
 
 
-def hashes_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """The features of a batch of `labelled_features`, one text after another, and the text of each."""
-    found = batch.column("found")
-    lengths = pc.binary_length(found).to_numpy(zero_copy_only=False).astype(np.int64) // 8
-    return np.frombuffer(b"".join(found.to_pylist()), np.uint64), np.repeat(np.arange(len(lengths)), lengths)
+def feature_counts(docs: DataFrame, model) -> DataFrame:
+    """(feature, pos, neg): in how many labelled texts of either label a feature occurs, restored words included."""
 
+    def counted(hashes: np.ndarray, rows: np.ndarray, labels: pa.Array) -> pa.RecordBatch:
+        toxic = labels.to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+        found, at = np.unique(hashes, return_inverse=True)
+        pos = np.bincount(at, weights=toxic, minlength=len(found)).astype(np.int64)
+        neg = np.bincount(at, minlength=len(found)) - pos
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.view(np.int64)), pa.array(pos), pa.array(neg)], names=["feature", "pos", "neg"]
+        )
 
-def feature_counts(texts: DataFrame) -> DataFrame:
-    """(feature, pos, neg): in how many texts of either label a feature occurs."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, rows = hashes_of(batch)
-            toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[rows]
-            found, at = np.unique(hashes, return_inverse=True)
-            pos = np.bincount(at, weights=toxic, minlength=len(found)).astype(np.int64)
-            neg = np.bincount(at, minlength=len(found)) - pos
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(pos), pa.array(neg)], names=["feature", "pos", "neg"]
-            )
-
-    rows = map_batches(texts, counted, "feature long, pos long, neg long")
+    rows = labelled_features(docs, model, counted, "feature long, pos long, neg long")
     return rows.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def known_features(texts: DataFrame, known) -> DataFrame:
-    """(toxic, found): the places of each text's known features."""
+def known_features(docs: DataFrame, model, known) -> DataFrame:
+    """(toxic, found): the places of each labelled text's known features."""
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places, rows = known_pairs(*hashes_of(batch), known.value)
-            order = np.argsort(rows, kind="stable")
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places[order], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), lists], names=["toxic", "found"])
+    def found(hashes: np.ndarray, rows: np.ndarray, labels: pa.Array) -> pa.RecordBatch:
+        places, rows = known_pairs(hashes, rows, known.value)
+        order = np.argsort(rows, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(labels)))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places[order], pa.int32()))
+        return pa.RecordBatch.from_arrays([labels, lists], names=["toxic", "found"])
 
-    return map_batches(texts, found, "toxic int, found array<int>")
+    return labelled_features(docs, model, found, "toxic int, found array<int>")
 
 
 def fit_weights(toxic: np.ndarray, row: np.ndarray, place: np.ndarray, features: int) -> tuple[np.ndarray, float]:
@@ -517,15 +504,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
     once = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "toxic")).alias("of")).select("of.*").distinct()
     once = stored(once.limit(LABELLED_ROWS), "labelled")
     train = texts.join(F.broadcast(once), "doc_id").select("text", "toxic")
-    hashed = labelled_features(train, model)
-    counts = feature_counts(hashed).where("pos > 2")
+    counts = feature_counts(train, model).where("pos > 2")
     n, share = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
     spread = F.sqrt(CAUTION * (share * (1 - share) / n + CAUTION / (4 * n * n)))
     low = (share + CAUTION / (2 * n) - spread) / (1 + CAUTION / n)
     best = counts.select("feature", low.alias("low")).where(F.col("low") > LEAST_SHARE)
     best = best.orderBy(F.desc("low"), "feature").limit(FEATURES).select("feature").toPandas()
     features = spark.sparkContext.broadcast(np.sort(best["feature"].to_numpy(np.int64).view(np.uint64)))
-    seen = known_features(hashed, features).toPandas()
+    seen = known_features(train, model, features).toPandas()
     found = [np.asarray(x, np.int64) for x in seen["found"]]
     row = np.repeat(np.arange(len(found)), [len(x) for x in found])
     place = np.concatenate([*found, np.zeros(0, np.int64)])

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -180,3 +181,19 @@ def test_pieces_have_the_same_places_when_ranks_are_shuffled(documents, texts, m
     monkeypatch.setattr(packing, "BROADCAST_STARTS", 0)
     assert "ShuffledHashJoin" in plan(pack(pieces, 64))
     assert places() == broad
+
+
+def test_text_tokenized_at_once_takes_little_memory(prose):
+    from tallybrook.llm.common import slices
+
+    text = pa.array([prose(s, 1_000) for s in range(800)], pa.string())
+    batch = pa.RecordBatch.from_arrays([text], names=["text"])
+    own, most = WordTokenizer(vocabulary_file()), 0
+    assert text.nbytes > 5 << 20
+    own.encode(text.slice(0, 1))
+    for _, part in slices(batch, text, packing.TOKENIZED_BYTES):
+        tracemalloc.start()
+        own.encode(part)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert most < 24 << 20

@@ -251,6 +251,23 @@ def test_toxic_words_are_learned_also_when_hidden(spark, prose):
     assert len({x.score for x in nothing}) == 1 and nothing[0].score < 0.3
 
 
+def test_no_task_needs_two_python_workers(spark, prose, plan, monkeypatch):
+    from tallybrook.llm import toxicity as module
+
+    made, steps = module.map_batches, []
+
+    def watched(df, function, schema):
+        steps.append(plan(df).split("Exchange")[0])
+        return made(df, function, schema)
+
+    monkeypatch.setattr(module, "map_batches", watched)
+    docs = spark.createDataFrame([(i, prose(i, 30) + " vorgak" * (i % 2)) for i in range(60)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    _, features, _ = fit(docs, known)
+    assert len(features.value) and len(steps) >= 4
+    assert not [step for step in steps if "MapInArrow" in step]
+
+
 def test_hold_out_follows_the_checksum(spark):
     import zlib
 
