@@ -79,15 +79,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     held = [summed(held)]
                     size = held[0].num_rows
                     if 2 * size > GATHERED:
-                        yield from held[0].to_batches()
+                        yield from held[0].cast(out).to_batches()
                         held, size = [], 0
         if held:
-            yield from summed(held).to_batches()
+            yield from summed(held).cast(out).to_batches()
 
     def summed(tables: list[pa.Table]) -> pa.Table:
+        """The sums have the types of what is summed, as they are summed again with what comes next."""
         sums = pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")])
         sums = sums.filter(pc.match_substring_regex(sums["word"], r"^\pL+$"))
-        return pa.table({"word": sums["word"].cast(pa.string()), "n": sums["n_sum"].cast(pa.int64())})
+        return pa.table({"word": sums["word"], "n": sums["n_sum"]})
+
+    out = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     rows = map_batches(docs.select(F.col("text").cast("string").alias("text")), counted, "word string, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))

@@ -34,6 +34,7 @@ from tallybrook.llm.toxicity import (
     ways,
     word_counts,
 )
+from tallybrook.session import session_settings
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -128,6 +129,18 @@ def test_letters_of_all_texts_are_counted(documents, texts):
     assert model[tuple(max(counts, key=counts.get))] > np.log(0.2)
 
 
+def test_a_task_sums_up_its_words_again_and_again(spark, monkeypatch):
+    monkeypatch.setattr("tallybrook.llm.toxicity.GATHERED", 10)
+    few, many = ["Ab cd, ab 9", "ef x1 ab", None, ""], [" ".join(a + b for b in "abcdefgh") for a in "qrstuvw"]
+    # Sums that are held and summed again, sums too many to be held, and some held after these.
+    lines = few * 8 + many * 2 + few * 8
+    words = Counter(w for t in lines for w in (t or "").lower().replace(",", "").split() if w.isalpha())
+    with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
+        docs = spark.createDataFrame([(t,) for t in lines], "text string").coalesce(1)
+        got = {r.word: r.n for r in word_counts(docs).collect()}
+    assert got == dict(words)
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     words = "idiot moron loser stupid worthless the lot of total model roots tomato moon good is it to on".split()
